@@ -173,3 +173,18 @@ def deterministic_id(*parts: str | Column) -> Column:
 
 def round_all(cols: Iterable[str], digits: int = 6) -> list[Column]:
     return [F.round(F.col(c), digits).alias(c) for c in cols]
+
+
+# -- exact sums of fixed-point values ------------------------------------------
+
+def exact_sum(x: str | Column, scale: int) -> Column:
+    """Sum of a fixed-point quantity (money: 2 decimals; stored scores) as an
+    exact DECIMAL, returned as double. Float sums depend on the order in
+    which partitions are combined; a decimal sum does not."""
+    return F.sum(col(x).cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_avg(x: str | Column, scale: int) -> Column:
+    """Mean from the exact decimal sum (NULL for no rows)."""
+    n = F.count(col(x))
+    return F.when(n > 0, exact_sum(x, scale) / n)

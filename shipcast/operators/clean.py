@@ -42,7 +42,7 @@ def coerce_types(df: DataFrame, timestamp_cols=("order_timestamp", "ingestion_ti
     types = dict(df.dtypes)
     for c in timestamp_cols:
         if c in types and types[c] == "string":
-            exprs[c] = F.try_to_timestamp(F.col(c))
+            exprs[c] = F.col(c).try_cast("timestamp_ntz")
     if label in types:
         num = (F.col(label) if types[label] != "string"
                else F.expr(f"try_cast({label} AS double)"))

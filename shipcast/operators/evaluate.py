@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipcast import constants as K
+from shipcast.functions.expr import exact_avg
 from shipcast.operators.ordered import running_sum
 
+SCORE_SCALE = 10  # decimals kept when summing probabilities exactly
+
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
     """Join two single-row aggregates (a proven 1x1 size)."""
@@ -98,7 +101,7 @@ def prediction_metrics(df: DataFrame, label: str = "label", pred: str = "predict
         F.count_if((yy == 0) & (pp == 1)).alias("false_positives"),
         F.count_if((yy == 1) & (pp == 0)).alias("false_negatives"),
         F.count_if((yy == 0) & (pp == 0)).alias("true_negatives"),
-        F.avg("_s").alias("avg_delay_probability"),
+        exact_avg("_s", SCORE_SCALE).alias("avg_delay_probability"),
         F.count_if(F.col("_b") == "high").alias("high_risk_orders"),
         F.count_if(F.col("_b") == "medium").alias("medium_risk_orders"),
         F.count_if(F.col("_b") == "low").alias("low_risk_orders"))
@@ -158,7 +161,7 @@ def business_value(df: DataFrame, label: str = "label", pred: str = "prediction"
                  fn.cast("double").alias("false_negatives"), tn.cast("double").alias("true_negatives"),
                  model.alias("model_value"), base.alias("baseline_value"),
                  (model - base).alias("incremental_value"),
-                 ((model - base) / F.col("evaluated_rows") * F.lit(1000.0))
+                 F.when(F.col("evaluated_rows") > 0, (model - base) / F.col("evaluated_rows") * F.lit(1000.0))
                  .alias("incremental_value_per_1000_orders"))
     names = v.columns
     return v.select(F.explode(F.array(*[

@@ -42,7 +42,8 @@ def hypothesis_tests(df: DataFrame, target: str = "delay_risk_label") -> DataFra
         if cond == "top_vs_overall":
             continue
         rows.append((hid, stmt, feat, F.lit(cond if cond != "positive" else "positive"),
-                     F.col(f"n_{hid}"), F.col(f"s_{hid}") / F.col(f"n_{hid}"), None, None))
+                     F.col(f"n_{hid}"),
+                     F.when(F.col(f"n_{hid}") > 0, F.col(f"s_{hid}") / F.col(f"n_{hid}")), None, None))
 
     base = one.select(
         "_n", "_s",
@@ -68,7 +69,7 @@ def hypothesis_tests(df: DataFrame, target: str = "delay_risk_label") -> DataFra
                   .drop("_k").select("_n", "_s", *h10.columns))
         base = base.unionByName(h10)
 
-    overall = F.col("_s") / F.col("_n")
+    overall = F.when(F.col("_n") > 0, F.col("_s") / F.col("_n"))
     cnt, rate = F.col("segment_count"), F.col("segment_rate")
     lift = F.when((overall != 0) & (cnt > 0), rate / overall)
     verdict = (F.when((cnt >= K.HYPOTHESIS_MIN_COUNT) & (lift >= K.HYPOTHESIS_MIN_LIFT) & (rate > overall), "TRUE")

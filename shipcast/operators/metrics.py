@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shipcast.functions.expr import exact_avg, exact_sum
+
+MONEY = 2  # order values and distances carry two decimals
 DELAY_DIMENSIONS = ["traffic_condition", "weather_condition", "carrier", "route_type", "state"]
 
 
@@ -17,16 +20,16 @@ def order_kpis(orders: DataFrame) -> DataFrame:
     """A1: count, revenue, mean value, mean distance, delay rate (NULL -> 0)."""
     return orders.agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.coalesce(F.sum("order_value"), F.lit(0.0)).alias("total_revenue"),
-        F.coalesce(F.avg("order_value"), F.lit(0.0)).alias("avg_order_value"),
-        F.coalesce(F.avg("distance_km"), F.lit(0.0)).alias("avg_distance_km"),
+        F.coalesce(exact_sum("order_value", MONEY), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(exact_avg("order_value", MONEY), F.lit(0.0)).alias("avg_order_value"),
+        F.coalesce(exact_avg("distance_km", MONEY), F.lit(0.0)).alias("avg_distance_km"),
         F.coalesce(F.avg("delay_risk_label"), F.lit(0.0)).alias("delay_risk_rate"))
 
 
 def orders_by_state(orders: DataFrame) -> DataFrame:
     """A2: orders and revenue per state, most orders first."""
     return (orders.groupBy("state")
-            .agg(F.count(F.lit(1)).alias("orders"), F.sum("order_value").alias("revenue"))
+            .agg(F.count(F.lit(1)).alias("orders"), exact_sum("order_value", MONEY).alias("revenue"))
             .orderBy(F.col("orders").desc(), F.col("state")))
 
 
@@ -47,9 +50,11 @@ def order_metrics_cube(orders: DataFrame) -> DataFrame:
                  AS grouping_set,
                state, carrier, traffic_condition,
                count(1) AS orders,
-               coalesce(sum(order_value), 0D) AS revenue,
-               coalesce(avg(order_value), 0D) AS avg_order_value,
-               coalesce(avg(distance_km), 0D) AS avg_distance_km,
+               coalesce(CAST(sum(CAST(order_value AS DECIMAL(38,2))) AS DOUBLE), 0D) AS revenue,
+               coalesce(CAST(sum(CAST(order_value AS DECIMAL(38,2))) AS DOUBLE) / count(order_value), 0D)
+                 AS avg_order_value,
+               coalesce(CAST(sum(CAST(distance_km AS DECIMAL(38,2))) AS DOUBLE) / count(distance_km), 0D)
+                 AS avg_distance_km,
                coalesce(avg(delay_risk_label), 0D) AS delay_risk_rate
         FROM _shipcast_orders_cube
         GROUP BY GROUPING SETS ((), (state), (carrier), (traffic_condition))""")

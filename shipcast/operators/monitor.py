@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shipcast import constants as K
 from shipcast.functions import delivery as D
 from shipcast.functions import expr as X
-from shipcast.operators.evaluate import METRIC_COLUMNS, prediction_metrics
+from shipcast.operators.evaluate import METRIC_COLUMNS, SCORE_SCALE, prediction_metrics
 
 PREDICTION_COLUMNS = ["order_id", "prediction_timestamp", "delay_probability", "delay_prediction", "risk_band",
                       "endpoint_id", "model_version"]
@@ -143,7 +143,7 @@ def performance_row(current: DataFrame, last_recorded: DataFrame | None, previou
     def base_of(df: DataFrame, source: str) -> DataFrame:
         return df.select(F.lit(1).alias("_k"), F.col("run_timestamp").alias("b_run_timestamp"),
                          *[F.col(m).alias(f"b_{m}") for m in BASELINE_METRICS],
-                         F.lit(source).alias("b_source"))
+                         F.lit(source).alias("b_source")).where(F.col("b_run_timestamp").isNotNull())
 
     cands = base_of(previous_batch, "latest_prediction_batch").withColumn("_pri", F.lit(2))
     if last_recorded is not None:
@@ -154,7 +154,8 @@ def performance_row(current: DataFrame, last_recorded: DataFrame | None, previou
     cur = current.withColumn("_k", F.lit(1)).join(F.broadcast(baseline), "_k", "left")
 
     def delta(m: str):
-        return F.col(m) - F.col(f"b_{m}")
+        # compared at 6 decimals, so a drop of exactly the threshold alerts
+        return F.round((F.col(m) - F.col(f"b_{m}")) * F.lit(1e6)) / F.lit(1e6)
 
     out = cur.select(
         X.deterministic_id(F.lit(run_timestamp), F.lit(model_version)).alias("run_id"),
@@ -176,7 +177,7 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
     p = predictions
     return p.agg(
         F.count(F.lit(1)).alias("total_predictions"),
-        F.coalesce(F.avg("delay_probability"), F.lit(0.0)).alias("avg_delay_probability"),
+        F.coalesce(X.exact_avg("delay_probability", SCORE_SCALE), F.lit(0.0)).alias("avg_delay_probability"),
         F.count_if(F.col("risk_band") == "high").alias("high_risk_orders"),
         F.count_if(F.col("risk_band") == "medium").alias("medium_risk_orders"),
         F.count_if(F.col("risk_band") == "low").alias("low_risk_orders"),
@@ -186,7 +187,8 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
 def risk_distribution(predictions: DataFrame) -> DataFrame:
     """Orders and mean probability per risk band, most orders first."""
     return (predictions.groupBy("risk_band")
-            .agg(F.count(F.lit(1)).alias("orders"), F.avg("delay_probability").alias("avg_delay_probability"))
+            .agg(F.count(F.lit(1)).alias("orders"),
+                 X.exact_avg("delay_probability", SCORE_SCALE).alias("avg_delay_probability"))
             .orderBy(F.col("orders").desc(), F.col("risk_band")))
 
 

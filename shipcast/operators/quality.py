@@ -34,7 +34,8 @@ def column_audit(df: DataFrame) -> DataFrame:
     rows = [F.struct(F.lit(f.name).alias("column_name"), F.lit(i).cast("long").alias("position"),
                      F.lit(f.dataType.simpleString()).alias("dtype"),
                      F.col(f"`nd__{f.name}`").cast("long").alias("nunique"),
-                     (F.lit(100.0) * (F.col("_n") - F.col(f"`nn__{f.name}`")) / F.col("_n")).alias("null_pct"),
+                     F.when(F.col("_n") > 0, F.lit(100.0) * (F.col("_n") - F.col(f"`nn__{f.name}`"))
+                            / F.col("_n")).alias("null_pct"),
                      F.lit(f.name in K.LEAKAGE_COLUMNS).alias("is_leakage"))
             for i, f in enumerate(fields)]
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
@@ -69,14 +70,16 @@ def numeric_summary(df: DataFrame, cols: list[str] | None = None,
     for q in quantiles:
         h = (F.col("_n") - 1) * F.lit(q)
         lo_k, hi_k = F.floor(h), F.ceil(h)
-        picks += [F.min(F.when(F.col("c_cum") > lo_k, F.col("value"))).alias(f"lo_{q}"),
-                  F.min(F.when(F.col("c_cum") > hi_k, F.col("value"))).alias(f"hi_{q}"),
-                  F.first(h - lo_k).alias(f"t_{q}")]
+        k = int(round(q * 100))
+        picks += [F.min(F.when(F.col("c_cum") > lo_k, F.col("value"))).alias(f"lo_{k}"),
+                  F.min(F.when(F.col("c_cum") > hi_k, F.col("value"))).alias(f"hi_{k}"),
+                  F.first(h - lo_k).alias(f"t_{k}")]
     qs = cum.groupBy("column_name").agg(*picks)
     out = moments.join(qs, "column_name")
     qcols = []
     for q, name in zip(quantiles, ("p25", "p50", "p75")):
-        a, b, t = F.col(f"lo_{q}"), F.col(f"hi_{q}"), F.col(f"t_{q}")
+        k = int(round(q * 100))
+        a, b, t = F.col(f"lo_{k}"), F.col(f"hi_{k}"), F.col(f"t_{k}")
         qcols.append(F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t).alias(name))
     return out.select("column_name", F.col("count").cast("long").alias("count"), "mean", "std", "min",
                       *qcols, "max")
@@ -116,7 +119,18 @@ def target_correlations(df: DataFrame, target: str = "delay_risk_label", top: in
     (pairwise-complete), strongest |r| first; undefined (constant) columns
     are left out."""
     cols = numeric_columns(df, exclude=(target,))
-    stats = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
+    y = F.col(target).cast("double")
+
+    def corr(c: str):
+        # Pearson r over rows where both are present; NULL when either side is
+        # constant (Spark's corr divides by zero there, which ANSI mode rejects)
+        x = F.col(c).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        xb, yb = F.when(both, x), F.when(both, y)
+        sx, sy = F.stddev_pop(xb), F.stddev_pop(yb)
+        return F.when((sx > 0) & (sy > 0), F.covar_pop(xb, yb) / (sx * sy))
+
+    stats = df.agg(*[corr(c).alias(c) for c in cols])
     rows = stats.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("correlation")) for c in cols])).alias("r")
     ).select("r.*")

@@ -55,6 +55,16 @@ def rnd(expr: str, digits: int = 6) -> str:
     return f"(round({expr}, {digits}) + 0.0)"
 
 
+def xsum(expr: str, scale: int) -> str:
+    """DuckDB form of ``expr.exact_sum``: an exact DECIMAL sum, as double."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE)"
+
+
+def xavg(expr: str, scale: int) -> str:
+    """DuckDB form of ``expr.exact_avg``."""
+    return f"(CASE WHEN count({expr}) > 0 THEN {xsum(expr, scale)} / count({expr}) END)"
+
+
 def load_all() -> None:
     """Import the modules that register queries."""
-    from shipcast.plans import catalog  # noqa: F401
+    from shipcast.plans import catalog, queries_features, queries_monitor, queries_ops  # noqa: F401
