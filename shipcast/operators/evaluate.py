@@ -121,10 +121,12 @@ def prediction_metrics(df: DataFrame, label: str = "label", pred: str = "predict
 def threshold_table(curve: DataFrame, tp_value: float = K.VALUE_TRUE_POSITIVE,
                     fp_cost: float = K.COST_FALSE_POSITIVE, fn_cost: float = K.COST_FALSE_NEGATIVE,
                     min_precision: float = K.MIN_PRECISION,
-                    penalty: float = K.LOW_PRECISION_PENALTY) -> DataFrame:
-    """Business score of the rule ``score >= t`` at every distinct score t."""
-    totals = curve.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    c = _one_row_join(curve, totals)
+                    penalty: float = K.LOW_PRECISION_PENALTY, group: list[str] | None = None) -> DataFrame:
+    """Business score of the rule ``score >= t`` at every distinct score t
+    (per ``group``; the per-group totals are one row per group)."""
+    group = group or []
+    totals = curve.groupBy(*group).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    c = curve.join(F.broadcast(totals), group) if group else _one_row_join(curve, totals)
     tp, fp = F.col("tp"), F.col("fp")
     fn = F.col("P") - tp
     n = F.col("P") + F.col("N")
@@ -132,19 +134,21 @@ def threshold_table(curve: DataFrame, tp_value: float = K.VALUE_TRUE_POSITIVE,
     rec = _ratio(tp, F.col("P"))
     gain = (F.lit(tp_value) * tp - F.lit(fp_cost) * fp - F.lit(fn_cost) * fn) / n
     return c.select(
-        F.col("score").alias("threshold"),
+        *group, F.col("score").alias("threshold"),
         (gain - F.when(prec < min_precision, F.lit(penalty)).otherwise(F.lit(0.0))).alias("business_score"),
         prec.alias("precision"), rec.alias("recall"),
         _ratio(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn).alias("f1"))
 
 
-def choose_threshold(df: DataFrame, label: str = "label", score: str = "score", **costs) -> DataFrame:
+def choose_threshold(df: DataFrame, label: str = "label", score: str = "score",
+                     group: list[str] | None = None, **costs) -> DataFrame:
     """M7: the business-optimal threshold; among equal scores the lowest
     threshold wins (the ascending scan with a strict ``>``)."""
-    t = threshold_table(score_curve(df, label, score), **costs)
+    group = group or []
+    t = threshold_table(score_curve(df, label, score, group=group), group=group, **costs)
     best = F.max_by(F.struct("threshold", "business_score", "precision", "recall", "f1"),
                     F.struct(F.col("business_score"), -F.col("threshold")))
-    return t.agg(best.alias("b")).select("b.*")
+    return t.groupBy(*group).agg(best.alias("b")).select(*group, "b.*")
 
 
 def business_value(df: DataFrame, label: str = "label", pred: str = "prediction",
@@ -217,19 +221,23 @@ def class_weights(df: DataFrame, label: str = "delay_risk_label") -> DataFrame:
                     (F.col("n") / (F.col("k") * F.col("n_class"))).alias("weight"))
 
 
-def evaluate_candidate(df: DataFrame, name: str, label: str = "label", score: str = "score") -> DataFrame:
-    """M8 / eval_model: choose the business threshold, classify at it, and
-    report AUC, AP, accuracy, precision, recall, f1, confusion counts and
-    the selection score 0.40·recall + 0.25·AUC + 0.20·AP + 0.15·precision."""
-    th = choose_threshold(df, label, score).select(F.col("threshold"),
-                                                   F.col("business_score").alias("business_score_per_order"))
-    scored = _one_row_join(df.select(F.col(label).alias("_y"), F.col(score).alias("_s")), th)
-    scored = scored.withColumn("_p", F.when(F.col("_s") >= F.col("threshold"), 1).otherwise(0))
-    m = prediction_metrics(scored, "_y", "_p", "_s", band=None)
-    m = _one_row_join(m, th)
+def evaluate_candidates(df: DataFrame, label: str = "label", score: str = "score",
+                        name: str = "name") -> DataFrame:
+    """M8 / eval_model for many candidates in one pass: ``df`` holds one row
+    per (candidate, order) with the candidate's score. Per candidate: choose
+    the business threshold, classify at it, and report AUC, AP, accuracy,
+    precision, recall, f1, confusion counts and the selection score
+    0.40·recall + 0.25·AUC + 0.20·AP + 0.15·precision. The threshold table
+    joined back has one row per candidate."""
+    th = (choose_threshold(df, label, score, group=[name])
+          .select(name, "threshold", F.col("business_score").alias("business_score_per_order")))
+    scored = (df.select(name, F.col(label).alias("_y"), F.col(score).alias("_s"))
+                .join(F.broadcast(th), name)
+                .withColumn("_p", F.when(F.col("_s") >= F.col("threshold"), 1).otherwise(0)))
+    m = prediction_metrics(scored, "_y", "_p", "_s", band=None, group=[name]).join(F.broadcast(th), name)
     w = K.SELECTION_WEIGHTS
     return m.select(
-        F.lit(name).alias("name"), "roc_auc", "average_precision", "accuracy", "precision", "recall", "f1",
+        F.col(name).alias("name"), "roc_auc", "average_precision", "accuracy", "precision", "recall", "f1",
         "threshold",
         (F.lit(w[0]) * F.col("recall") + F.lit(w[1]) * F.col("roc_auc") + F.lit(w[2]) * F.col("average_precision")
          + F.lit(w[3]) * F.col("precision")).alias("selection_score"),
@@ -238,6 +246,11 @@ def evaluate_candidate(df: DataFrame, name: str, label: str = "label", score: st
         "business_score_per_order")
 
 
+def evaluate_candidate(df: DataFrame, name: str, label: str = "label", score: str = "score") -> DataFrame:
+    """One candidate (see ``evaluate_candidates``)."""
+    return evaluate_candidates(df.withColumn("_name", F.lit(name)), label, score, "_name")
+
+
 def select_best_model(results: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Mark the best candidate by selection score (first candidate
     wins ties, by ``position``)."""

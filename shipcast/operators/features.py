@@ -191,15 +191,18 @@ def ml_ready_decisions(df: DataFrame, target: str = "delay_risk_label",
     bounded by the schema, not the data.
     """
     fields = list(df.schema.fields)
-    aggs = []
-    for f in fields:
-        c = F.col(f"`{f.name}`")
-        aggs.append(F.count(c).alias(f"nn__{f.name}"))
-        if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            aggs.append((F.min(c) == F.max(c)).alias(f"one__{f.name}"))
-        if _is_categorical(f.dataType):
-            aggs.append(F.approx_count_distinct(c, 0.02).alias(f"hll__{f.name}"))
-    stats = df.agg(*aggs).first().asDict()
+    # unpivot to (position, value-as-text) and aggregate per column: one
+    # small aggregate per column instead of three per column in one row
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.col(f"`{f.name}`").cast("string").alias("v"))
+        for i, f in enumerate(fields)])).alias("p")).select("p.*")
+    per_col = pairs.groupBy("position").agg(
+        F.count("v").alias("nn"), (F.min("v") == F.max("v")).alias("one"),
+        F.approx_count_distinct("v", 0.02).alias("hll")).collect()
+    stats = {}
+    for r in per_col:
+        name = fields[r["position"]].name
+        stats[f"nn__{name}"], stats[f"one__{name}"], stats[f"hll__{name}"] = r["nn"], r["one"], r["hll"]
     lo, hi = max_cat_cardinality // 2, max_cat_cardinality * 2
     near = [f.name for f in fields if _is_categorical(f.dataType)
             and lo <= stats[f"hll__{f.name}"] <= hi]

@@ -24,21 +24,27 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 
 def column_audit(df: DataFrame) -> DataFrame:
     """A11 + P10: per column its type, distinct non-NULL values, NULL percent
-    and whether it is a known outcome (leakage) column."""
+    and whether it is a known outcome (leakage) column.
+
+    The table is unpivoted to (column, value-as-text) pairs; distinct pairs
+    are found with one grouped aggregate (partial aggregation first), then
+    counted per column. This stays linear in the column count instead of
+    one distinct-aggregation branch per column."""
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for f in fields:
-        c = F.col(f"`{f.name}`")
-        aggs += [F.count_distinct(c).alias(f"nd__{f.name}"), F.count(c).alias(f"nn__{f.name}")]
-    stats = df.agg(*aggs)
-    rows = [F.struct(F.lit(f.name).alias("column_name"), F.lit(i).cast("long").alias("position"),
-                     F.lit(f.dataType.simpleString()).alias("dtype"),
-                     F.col(f"`nd__{f.name}`").cast("long").alias("nunique"),
-                     F.when(F.col("_n") > 0, F.lit(100.0) * (F.col("_n") - F.col(f"`nn__{f.name}`"))
-                            / F.col("_n")).alias("null_pct"),
-                     F.lit(f.name in K.LEAKAGE_COLUMNS).alias("is_leakage"))
-            for i, f in enumerate(fields)]
-    return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).cast("long").alias("position"), F.col(f"`{f.name}`").cast("string").alias("v"))
+        for i, f in enumerate(fields)])).alias("p")).select("p.*")
+    per_col = (pairs.groupBy("position", "v").agg(F.count(F.lit(1)).alias("c"))
+               .groupBy("position").agg(F.count("v").alias("nunique"),
+                                        F.sum(F.when(F.col("v").isNull(), F.col("c")).otherwise(0)).alias("nulls"),
+                                        F.sum("c").alias("n")))
+    meta = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString(), f.name in K.LEAKAGE_COLUMNS) for i, f in enumerate(fields)],
+        "position bigint, column_name string, dtype string, is_leakage boolean")
+    return (F.broadcast(meta).join(per_col, "position", "left")
+            .select("column_name", "position", "dtype", F.coalesce("nunique", F.lit(0)).cast("long").alias("nunique"),
+                    F.when(F.col("n") > 0, F.lit(100.0) * F.col("nulls") / F.col("n")).alias("null_pct"),
+                    "is_leakage"))
 
 
 def _stack_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -117,22 +123,17 @@ def quality_checks(df: DataFrame) -> DataFrame:
 def target_correlations(df: DataFrame, target: str = "delay_risk_label", top: int = 20) -> DataFrame:
     """Pearson correlation of each numeric column with the target
     (pairwise-complete), strongest |r| first; undefined (constant) columns
-    are left out."""
+    are left out. Unpivoted to (column, x, y) and aggregated per column, so
+    each column's moments merge from per-task partial aggregates."""
     cols = numeric_columns(df, exclude=(target,))
     y = F.col(target).cast("double")
-
-    def corr(c: str):
-        # Pearson r over rows where both are present; NULL when either side is
-        # constant (Spark's corr divides by zero there, which ANSI mode rejects)
-        x = F.col(c).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        xb, yb = F.when(both, x), F.when(both, y)
-        sx, sy = F.stddev_pop(xb), F.stddev_pop(yb)
-        return F.when((sx > 0) & (sy > 0), F.covar_pop(xb, yb) / (sx * sy))
-
-    stats = df.agg(*[corr(c).alias(c) for c in cols])
-    rows = stats.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("correlation")) for c in cols])).alias("r")
-    ).select("r.*")
-    rows = rows.where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
-    return rows.orderBy(F.abs("correlation").desc(), F.col("column_name")).limit(top)
+    st = (df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"), y.alias("y")) for c in cols]))
+        .alias("s")).select("s.*").where(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    sx, sy = F.stddev_pop("x"), F.stddev_pop("y")
+    # NULL when either side is constant (Spark's corr divides by zero there,
+    # which ANSI mode rejects)
+    r = st.groupBy("column_name").agg(F.when((sx > 0) & (sy > 0), F.covar_pop("x", "y") / (sx * sy))
+                                      .alias("correlation"))
+    r = r.where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
+    return r.orderBy(F.abs("correlation").desc(), F.col("column_name")).limit(top)

@@ -412,13 +412,17 @@ def q_select_best_model(spark: SparkSession, sf: str) -> DataFrame:
     thresholds (AUC, AP, precision, recall, f1), ranked by the selection
     score; the best is flagged."""
     s = scored(spark, sf)
-    results = None
-    for i, (name, expr) in enumerate(_candidates(s)):
-        df = s.select(F.col("delay_risk_label").alias("label"), expr.alias("score"))
-        r = rounded(EV.evaluate_candidate(df, name)).withColumn("position", F.lit(i).cast("long"))
-        w = K.SELECTION_WEIGHTS  # score of the reported (6-decimal) metrics
-        r = r.withColumn("selection_score", round_half_away(
-            F.lit(w[0]) * F.col("recall") + F.lit(w[1]) * F.col("roc_auc")
-            + F.lit(w[2]) * F.col("average_precision") + F.lit(w[3]) * F.col("precision")))
-        results = r if results is None else results.unionByName(r)
-    return EV.select_best_model(results)
+    cands = _candidates(s)
+    positions = {n: i for i, (n, _e) in enumerate(cands)}
+    long = s.select(F.col("delay_risk_label").alias("label"), F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), e.alias("score")) for n, e in cands])).alias("c")
+    ).select("c.name", "label", "c.score")
+    r = rounded(EV.evaluate_candidates(long))
+    pos = F.lit(None).cast("long")
+    for n, i in positions.items():
+        pos = F.when(F.col("name") == n, F.lit(i).cast("long")).otherwise(pos)
+    w = K.SELECTION_WEIGHTS  # score of the reported (6-decimal) metrics
+    r = r.withColumn("position", pos).withColumn("selection_score", round_half_away(
+        F.lit(w[0]) * F.col("recall") + F.lit(w[1]) * F.col("roc_auc")
+        + F.lit(w[2]) * F.col("average_precision") + F.lit(w[3]) * F.col("precision")))
+    return EV.select_best_model(r)
