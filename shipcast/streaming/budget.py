@@ -36,3 +36,14 @@ def budget_breaches(messages: DataFrame, baseline: float = 0.0, ratio: float = 1
     stop = F.col("budget_amount") * F.lit(float(ratio))
     return (d.where((F.col("budget_amount") != 0) & (inc >= stop))
              .select("event_id", "ts", "cost_amount", inc.alias("incremental_cost"), stop.alias("stop_at")))
+
+
+def stream_budget_breaches(spark, source_dir: str, schema, sink_path: str, checkpoint: str,
+                           baseline: float = 0.0, ratio: float = 1.0):
+    """Budget messages arriving as files (column ``message``) → breach
+    rows appended to ``sink_path``. Stateless, so the file sink's commit log
+    makes it exactly-once."""
+    src = spark.readStream.schema(schema).format("parquet").load(source_dir)
+    return (budget_breaches(src, baseline, ratio).writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint).option("path", sink_path)
+            .trigger(availableNow=True).start())
