@@ -1,11 +1,13 @@
 """Medallion layers (S3, S4): raw → silver → gold, plus write helpers.
 
-``refresh_layer`` writes a layer as Parquet, clustered by order time
-(range-partitioned on ``order_timestamp``, then sorted by the reference's
-cluster keys inside each file), so min/max statistics let date predicates
-skip whole files and row groups. Directory partitioning by date is offered
-(``partition_by_date=True``) for stores where a day holds many files' worth
-of data; for small inputs it would only produce many tiny files.
+``refresh_layer`` writes a layer as Parquet, each task's output sorted by
+order time and then by the reference's cluster keys, so Parquet row-group
+min/max statistics let date and state/carrier predicates skip row groups.
+This is a local sort: no extra exchange, and no sampling pass that would
+recompute the upstream joins (a range repartition needs both). Directory
+partitioning by date (``partition_by_date=True``) is offered for stores
+where one day holds many files' worth of data; on small inputs it would
+only produce many tiny files.
 
 ``layer`` is the read side: when the session names a shared folder in
 ``spark.checkpoint.dir`` the layer is materialized there once, under a key
@@ -70,8 +72,7 @@ def refresh_layer(df: DataFrame, path: str, partition_by_date: bool = False,
         out = df.repartition(date_col).sortWithinPartitions(*cluster)
         out.write.mode(mode).partitionBy(date_col).parquet(path)
     elif time_col in df.columns:
-        out = df.repartitionByRange(time_col).sortWithinPartitions(time_col, *cluster)
-        out.write.mode(mode).parquet(path)
+        df.sortWithinPartitions(time_col, *cluster).write.mode(mode).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 
