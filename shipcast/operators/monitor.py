@@ -54,14 +54,21 @@ def replayed_predictions(orders: DataFrame, as_of: str) -> DataFrame:
 
 
 def unscored_orders(features: DataFrame, predictions: DataFrame, as_of: str,
-                    lookback_days: int = K.SCORING_LOOKBACK_DAYS, limit: int | None = None) -> DataFrame:
+                    lookback_days: int = K.SCORING_LOOKBACK_DAYS, limit: int | None = None,
+                    one_per_order: bool = False) -> DataFrame:
     """Feature rows without a prediction, inside the lookback,
-    newest first (order_id breaks ties). ``limit`` is optional."""
+    newest first (order_id breaks ties). ``limit`` is optional.
+    ``one_per_order`` keeps the first row per order id (after the lookback
+    filter and anti join, so only candidates are shuffled); the warehouse
+    feature table itself may repeat ids."""
     f = features
     if lookback_days > 0:
         lo = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(lookback_days))
         f = f.where(F.col("order_timestamp") >= lo)
     out = f.join(predictions.select("order_id"), "order_id", "left_anti")
+    if one_per_order:
+        from shipcast.operators.clean import dedupe_orders
+        out = dedupe_orders(out)
     out = out.orderBy(F.col("order_timestamp").desc(), F.col("order_id"))
     return out.limit(limit) if limit else out
 
