@@ -309,3 +309,16 @@ def q_align_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 __all__ = ["RAW_DOUBLES"]
+
+
+@register("stratified_split", _q(["ops"], """
+SELECT order_id, delay_risk_label,
+  CASE WHEN row_number() OVER (PARTITION BY delay_risk_label ORDER BY md5(order_id || '|42'), order_id)
+            <= ceil(CAST(count(*) OVER (PARTITION BY delay_risk_label) AS DOUBLE) * CAST(0.2 AS DOUBLE))
+       THEN 'test' ELSE 'train' END AS split
+FROM ops"""))
+def q_stratified_split(spark: SparkSession, sf: str) -> DataFrame:
+    """M1: exact stratified 80/20 split of the operational orders (seed 42)."""
+    from shipcast.plans.training import stratified_split
+    ops = ops_orders(spark, sf).select("order_id", "delay_risk_label")
+    return stratified_split(ops, "delay_risk_label", "order_id", 0.2, 42)

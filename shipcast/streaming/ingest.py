@@ -80,3 +80,10 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema, ops_path: str, r
          .foreachBatch(lambda df, eid: ingest_batch(df, eid, ops_path, raw_path, log_path)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "240 minutes")
     return w.start()
+
+
+def latest_ingestion_logs(logs: DataFrame, limit: int = 50) -> DataFrame:
+    """Newest audit rows first (epoch breaks ties); the page size is the
+    feature (bounded 1–500)."""
+    limit = max(1, min(500, int(limit)))
+    return logs.orderBy(F.col("created_at").desc(), F.col("_epoch").desc()).limit(limit)
