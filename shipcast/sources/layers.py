@@ -31,7 +31,7 @@ from shipcast.session import checkpoint_dir
 
 CLUSTER_KEYS = ["state", "carrier", "product_category", "delay_risk_label"]
 _PKG_DIR = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-_MEMO: dict[tuple[str, str], DataFrame] = {}
+_MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -78,7 +78,8 @@ def refresh_layer(df: DataFrame, path: str, partition_by_date: bool = False,
 
 
 def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (os.path.abspath(sf_dir), name)
+    # memo per running application: frames of a stopped session are never reused
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     if key in _MEMO:
         return _MEMO[key]
     base = checkpoint_dir(spark)
