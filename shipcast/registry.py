@@ -32,9 +32,20 @@ def register(name: str, sql: Callable[[], str] | None = None):
 
 def round_half_away(c, digits: int = 6):
     """round(x · 10^d) / 10^d with halves away from zero, evaluated on the
-    binary product (so 4258.5484375 → 4258.548437 in every engine)."""
+    binary product (so 4258.5484375 → 4258.548437 in every engine).
+
+    Computed with exact floating-point steps instead of ``round`` (which
+    goes through BigDecimal per value): t = floor(|y|) via ``rint`` (exact,
+    no integer overflow), |y| − t is exact, and a fraction ≥ 0.5 rounds up.
+    NULL / NaN pass through; a zero result is +0.0 as in ``round``."""
     scale = float(10 ** digits)
-    return F.round(c * F.lit(scale)) / F.lit(scale)
+    y = c * F.lit(scale)
+    a = F.abs(y)
+    r = F.rint(a)
+    t = r - F.when(r > a, F.lit(1.0)).otherwise(F.lit(0.0))
+    m = t + F.when(a - t >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))
+    signed = F.when(m == 0, F.lit(0.0)).otherwise(F.when(y < 0, -m).otherwise(m))
+    return F.when(F.isnan(y), y).otherwise(signed / F.lit(scale))
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
