@@ -121,9 +121,11 @@ def prediction_metrics(df: DataFrame, label: str = "label", pred: str = "predict
 def threshold_table(curve: DataFrame, tp_value: float = K.VALUE_TRUE_POSITIVE,
                     fp_cost: float = K.COST_FALSE_POSITIVE, fn_cost: float = K.COST_FALSE_NEGATIVE,
                     min_precision: float = K.MIN_PRECISION,
-                    penalty: float = K.LOW_PRECISION_PENALTY, group: list[str] | None = None) -> DataFrame:
+                    penalty: float = K.LOW_PRECISION_PENALTY, group: list[str] | None = None,
+                    extra: list[str] | None = None) -> DataFrame:
     """Business score of the rule ``score >= t`` at every distinct score t
-    (per ``group``; the per-group totals are one row per group)."""
+    (per ``group``; the per-group totals are one row per group). ``extra``
+    curve columns are carried along."""
     group = group or []
     totals = curve.groupBy(*group).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     c = curve.join(F.broadcast(totals), group) if group else _one_row_join(curve, totals)
@@ -137,7 +139,7 @@ def threshold_table(curve: DataFrame, tp_value: float = K.VALUE_TRUE_POSITIVE,
         *group, F.col("score").alias("threshold"),
         (gain - F.when(prec < min_precision, F.lit(penalty)).otherwise(F.lit(0.0))).alias("business_score"),
         prec.alias("precision"), rec.alias("recall"),
-        _ratio(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn).alias("f1"))
+        _ratio(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn).alias("f1"), *(extra or []))
 
 
 def choose_threshold(df: DataFrame, label: str = "label", score: str = "score",
@@ -227,23 +229,35 @@ def evaluate_candidates(df: DataFrame, label: str = "label", score: str = "score
     per (candidate, order) with the candidate's score. Per candidate: choose
     the business threshold, classify at it, and report AUC, AP, accuracy,
     precision, recall, f1, confusion counts and the selection score
-    0.40·recall + 0.25·AUC + 0.20·AP + 0.15·precision. The threshold table
-    joined back has one row per candidate."""
-    th = (choose_threshold(df, label, score, group=[name])
-          .select(name, "threshold", F.col("business_score").alias("business_score_per_order")))
-    scored = (df.select(name, F.col(label).alias("_y"), F.col(score).alias("_s"))
-                .join(F.broadcast(th), name)
-                .withColumn("_p", F.when(F.col("_s") >= F.col("threshold"), 1).otherwise(0)))
-    m = prediction_metrics(scored, "_y", "_p", "_s", band=None, group=[name]).join(F.broadcast(th), name)
+    0.40·recall + 0.25·AUC + 0.20·AP + 0.15·precision.
+
+    One score curve per candidate serves all of it: the rule ``score >= t``
+    flags exactly the rows counted in the curve's cumulative tp / fp at t,
+    so the confusion counts at the chosen threshold are read off the curve
+    (fn = P − tp, tn = N − fp) instead of re-scanning the rows."""
+    curve = score_curve(df, label, score, group=[name])
+    totals = curve.groupBy(name).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    th = threshold_table(curve, group=[name], extra=["tp", "fp"])
+    best = th.groupBy(name).agg(F.max_by(F.struct("threshold", "business_score", "tp", "fp"),
+                                         F.struct(F.col("business_score"), -F.col("threshold"))).alias("b"))
+    m = (best.select(name, "b.*").join(totals, name).join(auc_ap(curve, group=[name]), name))
+    flagged = F.col("threshold").isNotNull()
+    tp = F.when(flagged, F.col("tp")).otherwise(F.lit(0))
+    fp = F.when(flagged, F.col("fp")).otherwise(F.lit(0))
+    fn, tn = F.col("P") - tp, F.col("N") - fp
+    precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
     w = K.SELECTION_WEIGHTS
     return m.select(
-        F.col(name).alias("name"), "roc_auc", "average_precision", "accuracy", "precision", "recall", "f1",
+        F.col(name).alias("name"), "roc_auc", "average_precision",
+        _ratio(tp + tn, F.col("P") + F.col("N")).alias("accuracy"),
+        precision.alias("precision"), recall.alias("recall"),
+        _ratio(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn).alias("f1"),
         "threshold",
-        (F.lit(w[0]) * F.col("recall") + F.lit(w[1]) * F.col("roc_auc") + F.lit(w[2]) * F.col("average_precision")
-         + F.lit(w[3]) * F.col("precision")).alias("selection_score"),
-        F.col("true_negatives").alias("tn"), F.col("false_positives").alias("fp"),
-        F.col("false_negatives").alias("fn"), F.col("true_positives").alias("tp"),
-        "business_score_per_order")
+        (F.lit(w[0]) * recall + F.lit(w[1]) * F.col("roc_auc") + F.lit(w[2]) * F.col("average_precision")
+         + F.lit(w[3]) * precision).alias("selection_score"),
+        tn.cast("long").alias("tn"), fp.cast("long").alias("fp"),
+        fn.cast("long").alias("fn"), tp.cast("long").alias("tp"),
+        F.col("business_score").alias("business_score_per_order"))
 
 
 def evaluate_candidate(df: DataFrame, name: str, label: str = "label", score: str = "score") -> DataFrame:
