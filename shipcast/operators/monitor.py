@@ -111,10 +111,18 @@ def latest_batch_performance(predictions: DataFrame, features: DataFrame, before
 
 def run_metrics(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     """Per-run metrics of every prediction batch (labels joined on order id;
-    missing label counts as 0, the current-batch rule)."""
+    missing label counts as 0, the current-batch rule).
+
+    The result has one row per scoring run and is read several times (run
+    history, last run, the monitoring row), so it is written once to the
+    shared checkpoint folder when one is set instead of re-running the join
+    and the grouped curves for every use."""
     j = predictions.join(labels.select("order_id", "delay_risk_label"), "order_id", "left")
-    return prediction_metrics(j, "delay_risk_label", "delay_prediction", "delay_probability", "risk_band",
+    runs = prediction_metrics(j, "delay_risk_label", "delay_prediction", "delay_probability", "risk_band",
                               missing_label_as_zero=True, group=["prediction_timestamp"])
+    if runs.sparkSession.sparkContext.getCheckpointDir():
+        runs = runs.checkpoint(eager=True)
+    return runs
 
 
 def performance_history(runs: DataFrame, limit: int | None = None) -> DataFrame:

@@ -22,6 +22,13 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # The order-line and feature projections fuse ~40 derived columns into one
+    # stage. Above 8000 bytes of bytecode the JVM never JIT-compiles a method
+    # (DontCompileHugeMethods), so such a stage would run interpreted; with
+    # the limit at 8000 Spark keeps per-operator codegen for it instead
+    # (measured: raw order lines 30 s → 18 s cold, 9 s → 6 s warm at sf0.1).
+    # Cluster sessions should carry the same setting.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
