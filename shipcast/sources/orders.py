@@ -11,6 +11,7 @@ left to Catalyst/AQE (sort-merge, converted at runtime to broadcast when a
 side turns out small). Nation and region are bounded dimension tables and
 are broadcast behind a row-count check. Distribution centres and carriers
 are 4- and 5-entry literal arrays indexed per row, so they need no join.
+The joined rows are rebalanced once before the per-row derivation.
 """
 
 from __future__ import annotations
@@ -76,6 +77,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
            .join(customers, od.o_custkey == customers.c_custkey)
            .join(pa, li.l_partkey == pa.p_partkey))
+    # REBALANCE the joined rows (16 narrow columns) before the ~40 derived
+    # columns are computed: the scan's parallelism follows the input's row
+    # groups (one 600k-row group at sf0.1 would make the whole derivation and
+    # every downstream layer file a single task). AQE sizes the partitions
+    # and splits a hot one, and the layer is written as balanced files.
+    j = j.hint("rebalance")
 
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     ck = F.col("c_custkey")
