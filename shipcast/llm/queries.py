@@ -82,3 +82,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sharding, op2_quality_rules, op3_url_filters, op4_line_dedup, op5_simhash, op6_decontamination, op7_html_extraction, op8_pii, op9_quality_classifier, op10_sentencepiece, pipeline)}
+
+#: DuckDB SQL for the rows of a query.
+ORACLE: dict[str, str] = {}
