@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from shipcast import registry
 from shipcast.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -40,11 +41,16 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
-    assert len(E.queries()) >= 57
+    registry.load_all()
+    assert set(registry.ORACLE) == set(registry.QUERIES)
+    assert len(registry.QUERIES) >= 57
+    assert set(registry.QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+registry.load_all()
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
