@@ -107,6 +107,9 @@ class Pieces:
                 symbol.setdefault(c, self.size + len(symbol))
         self.char = {p: i for p, i in symbol.items() if len(p) == 1}
         self.other = 1 << 24
+        self.symbol_of = np.full(0x110000, self.other, dtype=np.int32)
+        for c, i in self.char.items():
+            self.symbol_of[ord(c)] = i
         keys, ranks = [], []
         for p, i in normal.items():
             for cut in range(1, len(p) if p.strip(MARK) else 0):
@@ -163,56 +166,58 @@ class Pieces:
         return out
 
     def _merge(self, units: list[str], begin: int, end: int, out: list) -> None:
-        char, other = self.char, self.other
-        sym = np.array([char.get(c) or other + ord(c) for u in units[begin:end] for c in u], dtype=np.int64)
-        # Characters outside the model are no part of any pair; keep their code points beside.
-        odd = sym >= other
-        point = np.where(odd, sym - other, 0)
-        sym[odd] = other
+        point = np.frombuffer("".join(units[begin:end]).encode("utf-32-le"), dtype=np.uint32)
+        # Characters outside the model are no part of any pair; their code points are kept beside.
+        sym = self.symbol_of[point].astype(np.int64)
         word = np.repeat(np.arange(begin, end), [len(u) for u in units[begin:end]])
+        rank = np.full(len(sym), NO_RANK)  # of the pair that starts here
+        same = np.flatnonzero(word[1:] == word[:-1])
+        rank[same] = self.rank(sym[same], sym[same + 1])
         while len(sym):
-            same = word[1:] == word[:-1]
-            rank = np.where(same, self.rank(sym[:-1], sym[1:]), NO_RANK)
             # The least rank of each unit.
-            first = np.flatnonzero(np.concatenate(([True], ~same)))
-            least = np.minimum.reduceat(np.concatenate((rank, [NO_RANK])), first)
-            at = np.repeat(least, np.diff(np.append(first, len(sym))))
+            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            at = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(sym))))
             done = at == NO_RANK
             if done.any():
                 self._emit(sym[done], point[done], word[done], out)
                 live = ~done
-                sym, point, word = sym[live], point[live], word[live]
+                sym, point, word, rank, at = sym[live], point[live], word[live], rank[live], at[live]
                 if not len(sym):
                     return
-                at = at[live]
-                same = word[1:] == word[:-1]
-                rank = np.where(same, self.rank(sym[:-1], sym[1:]), NO_RANK)
-            hit = rank == at[:-1]
-            hit &= same
             # Overlapping occurrences: from left to right, every second of a run.
-            spot = np.flatnonzero(hit)
+            spot = np.flatnonzero(rank == at)
+            k = np.arange(len(spot))
             fresh = np.concatenate(([True], np.diff(spot) != 1))
-            run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(spot)), 0))
-            spot = spot[(np.arange(len(spot)) - run_start) % 2 == 0]
-            new, lost = self._merged(sym, spot, at)
-            # A merge that makes a pair of lesser rank must come before its unit's other merges: there only the first one counts now.
-            nword = np.delete(word, lost)
-            after = np.where(nword[1:] == nword[:-1], self.rank(new[:-1], new[1:]), NO_RANK)
-            early = np.unique(nword[:-1][after < np.delete(at, lost)[:-1]])
-            if len(early):
+            spot = spot[(k - np.maximum.accumulate(np.where(fresh, k, 0))) % 2 == 0]
+            new = self._merged(sym, point, word, rank, at, spot)
+            if new[4].any():
+                # A merge that makes a pair of lesser rank comes before its unit's other merges: there only the first one counts now.
                 w = word[spot]
-                again = np.concatenate(([False], w[1:] == w[:-1])) & np.isin(w, early)
+                again = np.concatenate(([False], w[1:] == w[:-1])) & np.isin(w, w[new[4]])
                 if again.any():
-                    spot = spot[~again]
-                    new, lost = self._merged(sym, spot, at)
-                    nword = np.delete(word, lost)
-            point, sym, word = np.delete(point, lost), new, nword
-
-    @staticmethod
-    def _merged(sym: np.ndarray, spot: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        new = sym.copy()
-        new[spot] = at[spot]
-        return np.delete(new, spot + 1), spot + 1
+                    new = self._merged(sym, point, word, rank, at, spot[~again])
+            sym, point, word, rank, _ = new
+
+    def _merged(self, sym, point, word, rank, at, spot) -> tuple[np.ndarray, ...]:
+        """Arrays after the merges at ``spot``, and which of them made a pair of lesser rank."""
+        keep = np.ones(len(sym), dtype=bool)
+        keep[spot + 1] = False
+        fused = sym.copy()
+        fused[spot] = at[spot]
+        fused, point, word, rank = fused[keep], point[keep], word[keep], rank[keep]
+        here = spot - np.arange(len(spot))
+        lesser = np.zeros(len(spot), dtype=bool)
+        for left in (here - 1, here):
+            inside = (left >= 0) & (left + 1 < len(fused))
+            inside[inside] = word[left[inside]] == word[left[inside] + 1]
+            got = np.full(len(left), NO_RANK)
+            got[inside] = self.rank(fused[left[inside]], fused[left[inside] + 1])
+            lesser |= got < at[spot]
+            if left is here:
+                rank[here] = got
+            else:
+                rank[left[inside]] = got[inside]
+        return fused, point, word, rank, lesser
 
     def _emit(self, sym: np.ndarray, point: np.ndarray, word: np.ndarray, out: list) -> None:
         cut = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1], [True])))
