@@ -162,8 +162,11 @@ def finite_or_null(x: str | Column) -> Column:
 
 def iso_timestamp(ts: str | Column) -> Column:
     """ISO-8601 text with an explicit UTC offset (``+00:00``), as the
-    warehouse sink receives it (S9). Timestamp-without-zone input is UTC."""
-    return F.concat(F.date_format(col(ts), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    warehouse sink receives it (S9), with six digits of a second's fraction
+    where there is one. Timestamp-without-zone input is UTC."""
+    whole = F.date_format(col(ts), "yyyy-MM-dd'T'HH:mm:ss")
+    part = F.date_format(col(ts), ".SSSSSS")
+    return F.concat(whole, F.when(part == ".000000", F.lit("")).otherwise(part), F.lit("+00:00"))
 
 
 def deterministic_id(*parts: str | Column) -> Column:

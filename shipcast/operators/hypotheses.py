@@ -76,6 +76,7 @@ def hypothesis_tests(df: DataFrame, target: str = "delay_risk_label") -> DataFra
                .when(cnt >= K.HYPOTHESIS_MIN_COUNT, "FALSE").otherwise("INCONCLUSIVE"))
     insight = F.when(lift.isNotNull(), F.format_string(
         "Orders matching %s=%s have %.2fx the average delay rate.", F.col("feature"), F.col("condition"), lift)
+    ).when(~F.col("feature").isin([c for c in df.columns]), F.format_string("Column %s not found.", F.col("feature"))
     ).otherwise(F.lit("Insufficient sample."))
     return base.select("id", "hypothesis", "feature", "condition", "segment_count", "segment_rate",
                        overall.alias("overall_rate"), lift.alias("lift"), verdict.alias("verdict"),

@@ -100,16 +100,44 @@ def delta_direction(delta_col: str) -> F.Column:
 
 
 def latest_orders(orders: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
-    """Newest orders page (order_id breaks ties); limit bounded 1–1000."""
-    limit = max(1, min(1000, int(limit)))
+    """Newest orders page (order_id breaks ties); limit 1–1000, offset 0 or
+    more; other values are an error."""
+    if not 1 <= limit <= 1000 or offset < 0:
+        raise ValueError("limit must be between 1 and 1000, offset not negative")
     out = orders.orderBy(F.col("order_timestamp").desc(), F.col("order_id"))
     return out.offset(int(offset)).limit(limit) if offset else out.limit(limit)
 
 
 def cap_rows(orders: DataFrame, max_rows: int | None = 500_000) -> DataFrame:
-    """Oldest-first cap, applied only when the table is larger."""
-    out = orders.orderBy(F.col("order_timestamp"), F.col("order_id"))
-    return out.limit(max_rows) if max_rows else out
+    """The oldest ``max_rows`` rows (order_id breaks ties), or all.
+
+    The cap falls into one minute, found from the counts of each hour and of
+    that hour's minutes; rows before that minute are kept by a plain filter,
+    and only that minute's rows are ranked. Rows without a time come first,
+    as in the order the cap is defined by, so they fill the cap first."""
+    if max_rows is None:
+        return orders
+    ts = F.col("order_timestamp")
+    missing = orders.where(ts.isNull())
+    left = max_rows - missing.count()
+    if left <= 0:
+        return missing.orderBy("order_id").limit(max_rows)
+    rows, start = orders.where(ts.isNotNull()), None
+    for unit in ("year", "hour", "minute"):
+        # One row for each year, then for each hour of a year, then for each minute of an hour.
+        inside = rows if start is None else rows.where(F.date_trunc(before, ts) == F.lit(start))
+        counts = inside.groupBy(F.date_trunc(unit, ts).alias("t")).count().orderBy("t").collect()
+        before, start = unit, None
+        for t, n in counts:
+            if n > left:
+                start = t
+                break
+            left -= n
+        if start is None:
+            return orders
+    edge = F.date_trunc("minute", ts)
+    kept = missing.unionByName(rows.where(edge < F.lit(start)))
+    return kept.unionByName(rows.where(edge == F.lit(start)).orderBy(ts, "order_id").limit(left)) if left else kept
 
 
 def top_risk_orders(scored: DataFrame, score: str, limit: int = 100) -> DataFrame:

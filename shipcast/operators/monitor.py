@@ -73,10 +73,21 @@ def unscored_orders(features: DataFrame, predictions: DataFrame, as_of: str,
     return out.limit(limit) if limit else out
 
 
+def on_day(ts: Column, as_of: str) -> Column:
+    """Timestamps of the as-of day, as a range that reaches the scan."""
+    day = F.date_trunc("day", F.lit(as_of).cast("timestamp_ntz")).cast("timestamp_ntz")
+    return (ts >= day) & (ts < day + F.make_dt_interval(F.lit(1)))
+
+
+def scored_on(predictions: DataFrame, as_of: str) -> int:
+    """Predictions stored on the as-of day."""
+    return predictions.where(on_day(F.col("prediction_timestamp"), as_of)).count()
+
+
 def scored_today(predictions: DataFrame, source: DataFrame, as_of: str) -> DataFrame:
     """Predictions whose date is the as-of date, and source rows."""
     day = F.to_date(F.lit(as_of).cast("timestamp_ntz"))
-    a = predictions.agg(F.count_if(F.to_date("prediction_timestamp") == day).alias("scored_today"))
+    a = predictions.where(on_day(F.col("prediction_timestamp"), as_of)).agg(F.count(F.lit(1)).alias("scored_today"))
     b = source.agg(F.count(F.lit(1)).alias("source_rows"))
     return (a.withColumn("_k", F.lit(1)).join(F.broadcast(b.withColumn("_k", F.lit(1))), "_k")
              .select(day.alias("as_of_date"), "scored_today", "source_rows"))
@@ -208,7 +219,9 @@ def risk_distribution(predictions: DataFrame) -> DataFrame:
 
 
 def latest_predictions(predictions: DataFrame, limit: int = 100) -> DataFrame:
-    """T4: newest predictions (order_id breaks ties), LIMIT 1–500."""
-    limit = max(1, min(500, int(limit)))
+    """T4: newest predictions (order_id breaks ties), LIMIT 1–500; other
+    page sizes are an error."""
+    if not 1 <= limit <= 500:
+        raise ValueError("limit must be between 1 and 500")
     return (predictions.select(*PREDICTION_COLUMNS)
             .orderBy(F.col("prediction_timestamp").desc(), F.col("order_id")).limit(limit))

@@ -8,6 +8,7 @@ are for tests, the bench and command-line jobs. On a cluster the session and
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,10 +56,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local
-    tests / bench) point the context at a fresh scratch folder."""
+    """Use the configured checkpoint folder; only when none is set and the
+    master is local (tests, bench) point the context at a fresh scratch
+    folder. On a cluster a machine's own folder would be lost to the others."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="shipcast-ckpt-"))
     return checkpoint_dir(spark)

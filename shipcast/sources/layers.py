@@ -34,15 +34,17 @@ _PKG_DIR = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Key of a layer: the input files as the store lists them (path, size,
+    time of change in milliseconds) and this package's source."""
     h = hashlib.sha256()
-    h.update(os.path.abspath(sf_dir).encode())
-    try:
-        for name in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, name))
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-    except OSError:
-        pass  # remote store: path + code version only
+    root, fs = hadoop_path(spark, sf_dir)
+    root = fs.makeQualified(root)
+    found, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    h.update("\n".join([str(root), *sorted(found)]).encode())
     for root, _dirs, files in sorted(os.walk(_PKG_DIR)):
         for f in sorted(files):
             if f.endswith(".py"):
@@ -51,25 +53,43 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table has a data file (with or without a ``_SUCCESS``
+    marker, which not every committer writes)."""
+    p, fs = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        name = files.next().getPath().toString()[len(p.toString()):]
+        if "/_" not in name.replace("/_stream=", "/").replace("/_epoch=", "/") and "/." not in name:
+            return True
+    return False
+
+
 def committed(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path.rstrip("/") + "/_SUCCESS")
+    p, fs = hadoop_path(spark, path.rstrip("/") + "/_SUCCESS")
     return bool(fs.exists(p))
 
 
 def refresh_layer(df: DataFrame, path: str, partition_by_date: bool = False,
                   date_col: str = "order_date", time_col: str = "order_timestamp",
                   mode: str = "overwrite") -> None:
-    """Full refresh of a layer. Written without dropping the old table
-    first: the committer swaps the output in at job commit."""
+    """Full refresh of a layer.
+
+    ``overwrite`` deletes the old files before the job writes; readers that
+    must never see an empty table read layers through ``layer``, which
+    publishes a finished folder."""
     cluster = [c for c in CLUSTER_KEYS if c in df.columns]
     if partition_by_date and date_col in df.columns:
-        out = df.repartition(date_col).sortWithinPartitions(*cluster)
+        # A rebalance keeps a date together but splits one that is large.
+        out = df.hint("rebalance", date_col).sortWithinPartitions(date_col, *cluster)
         out.write.mode(mode).partitionBy(date_col).parquet(path)
     elif time_col in df.columns:
         df.sortWithinPartitions(time_col, *cluster).write.mode(mode).parquet(path)
@@ -78,19 +98,20 @@ def refresh_layer(df: DataFrame, path: str, partition_by_date: bool = False,
 
 
 def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    # memo per running application: frames of a stopped session are never reused
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    # memo per running application and input state: frames of a stopped session or of older input are never reused
+    mark = _fingerprint(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, mark, name)
     if key in _MEMO:
         return _MEMO[key]
     base = checkpoint_dir(spark)
     if not base:
         return build()
-    path = f"{base.rstrip('/')}/shipcast-layers/{_fingerprint(sf_dir)}/{name}"
+    path = f"{base.rstrip('/')}/shipcast-layers/{mark}/{name}"
     if not committed(spark, path):
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
         refresh_layer(build(), tmp)
-        src, fs = _hadoop_path(spark, tmp)
-        dst, _ = _hadoop_path(spark, path)
+        src, fs = hadoop_path(spark, tmp)
+        dst, _ = hadoop_path(spark, path)
         if not committed(spark, path):
             if fs.exists(dst):
                 fs.delete(dst, True)

@@ -7,63 +7,85 @@ New order files are read as a stream; each micro-batch, in
 2. inserts into the operational store only ids it does not hold yet (S5:
    anti join against the store, exact and unbounded — no watermark, so late
    rows are never dropped);
-3. appends the batch to the warehouse raw table (S6) under a partition of
-   its epoch id, written with dynamic partition overwrite, so a replayed
-   epoch replaces its own output instead of duplicating it;
-4. writes one audit row (S10) for the epoch, also keyed by the epoch.
-
-``foreachBatch`` is at-least-once; every write above is keyed (order id or
-epoch id), so a retried epoch leaves the same tables. Progress lives in the
-checkpoint folder, which must be on shared storage on a cluster.
+3. appends the batch to the warehouse raw table (S6);
+4. writes one audit row (S10): "warning" if the warehouse did not take all.
+
+``foreachBatch`` is at-least-once. Every table is partitioned by the stream's
+id and the epoch and written with dynamic partition overwrite, so a retried
+epoch replaces its own rows and counts, and another stream (or the same files
+under a new checkpoint folder) never does. Progress lives in the checkpoint
+folder, which must be on shared storage on a cluster.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shipcast.operators.clean import dedupe_orders
+from shipcast.sources.layers import hadoop_path, has_files
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity of the stream that owns a checkpoint folder: made once and
+    kept in the folder, so a new folder is a new stream."""
+    path, fs = hadoop_path(spark, checkpoint.rstrip("/") + "/stream-id")
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        out.writeUTF(uuid.uuid4().hex)
+        out.close()
+    read = fs.open(path)
+    try:
+        return read.readUTF()
+    finally:
+        read.close()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+def _replace(rows: DataFrame, stream: str, epoch_id: int, path: str) -> int:
+    """Write ``rows`` as the partition of this stream and epoch, replacing an
+    earlier try's; the number of rows that are stored there."""
+    tagged = rows.withColumn("_stream", F.lit(stream)).withColumn("_epoch", F.lit(epoch_id).cast("long"))
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_stream", "_epoch").parquet(path))
+    if not has_files(rows.sparkSession, path):
+        return 0
+    return rows.sparkSession.read.parquet(path).where((F.col("_stream") == stream) & (F.col("_epoch") == epoch_id)).count()
 
 
 def ingest_batch(batch: DataFrame, epoch_id: int, ops_path: str, raw_path: str, log_path: str,
-                 warehouse_enabled: bool = True) -> None:
+                 warehouse_enabled: bool = True, stream: str = "stream") -> None:
     spark = batch.sparkSession
     batch = batch.persist()
     try:
         rows_generated = batch.count()
-        first = dedupe_orders(batch)
-        if _exists(spark, ops_path):
-            existing = spark.read.parquet(ops_path).select("order_id")
-            new = first.join(existing, "order_id", "left_anti")
-        else:
-            new = first
+        new = dedupe_orders(batch)
+        if has_files(spark, ops_path):
+            stored = spark.read.parquet(ops_path)
+            others = stored.where(~((F.col("_stream") == stream) & (F.col("_epoch") == epoch_id)))
+            new = new.join(others.select("order_id"), "order_id", "left_anti")
+        # Written from a saved copy: the plan reads the table that it adds to.
         new = new.persist()
-        rows_ops = new.count()
-        new.write.mode("append").parquet(ops_path)
+        new.count()
+        rows_ops = _replace(new, stream, epoch_id, ops_path)
         new.unpersist()
 
-        rows_wh = 0
+        rows_wh, message = 0, ""
         if warehouse_enabled:
-            (batch.withColumn("_epoch", F.lit(epoch_id).cast("long"))
-                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                  .partitionBy("_epoch").parquet(raw_path))
-            rows_wh = rows_generated
+            try:
+                rows_wh = _replace(batch, stream, epoch_id, raw_path)
+            except Exception as e:  # noqa: BLE001  the warehouse may be away; the audit row says so
+                message = str(e).split("\n")[0][:200]
         status = "success" if (rows_wh == rows_generated or not warehouse_enabled) else "warning"
-        log = spark.createDataFrame(
-            [(f"epoch-{epoch_id}", f"epoch-{epoch_id}", rows_generated, rows_ops, rows_wh, status, "",
-              int(epoch_id))],
-            "id string, batch_id string, rows_generated bigint, rows_inserted_sqlite bigint, "
-            "rows_inserted_bigquery bigint, status string, message string, _epoch bigint")
-        (log.withColumn("created_at", F.current_timestamp())
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_epoch").parquet(log_path))
+        time = F.max("ingestion_timestamp") if "ingestion_timestamp" in batch.columns else F.lit(None)
+        key = f"{stream}-{epoch_id}"
+        log = batch.agg(time.cast("timestamp_ntz").alias("created_at")).select(
+            F.lit(key).alias("id"), F.lit(key).alias("batch_id"), F.lit(rows_generated).cast("long").alias("rows_generated"),
+            F.lit(rows_ops).cast("long").alias("rows_inserted_sqlite"), F.lit(rows_wh).cast("long").alias("rows_inserted_bigquery"),
+            F.lit(status).alias("status"), F.lit(message).alias("message"), "created_at")
+        _replace(log, stream, epoch_id, log_path)
     finally:
         batch.unpersist()
 
@@ -76,14 +98,16 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema, ops_path: str, r
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.load(source_dir)
+    own = stream_id(spark, checkpoint)
     w = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, eid: ingest_batch(df, eid, ops_path, raw_path, log_path)))
+         .foreachBatch(lambda df, eid: ingest_batch(df, eid, ops_path, raw_path, log_path, stream=own)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "240 minutes")
     return w.start()
 
 
 def latest_ingestion_logs(logs: DataFrame, limit: int = 50) -> DataFrame:
     """Newest audit rows first (epoch breaks ties); the page size is the
-    feature (bounded 1–500)."""
-    limit = max(1, min(500, int(limit)))
+    feature (1–500; other values are an error)."""
+    if not 1 <= limit <= 500:
+        raise ValueError("limit must be between 1 and 500")
     return logs.orderBy(F.col("created_at").desc(), F.col("_epoch").desc()).limit(limit)

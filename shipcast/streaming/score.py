@@ -2,10 +2,9 @@
 
 Feature files arrive as a stream; each micro-batch scores only the order ids
 that have no prediction yet (anti join against the predictions table) and
-appends the predictions with the batch's shared run timestamp. The run
-timestamp is derived from the epoch id and a fixed start, so a replayed
-epoch produces the same rows, and the anti join makes the append
-idempotent. ``scorer`` maps a feature DataFrame to one with a probability
+appends the predictions with the run's timestamp: one for all micro-batches
+of a run, so that the day quota and the latest batch see one run. The anti
+join makes the append idempotent. ``scorer`` maps a feature DataFrame to one with a probability
 column (the rule scorer or a fitted ``PipelineModel`` wrapper).
 """
 
@@ -19,16 +18,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shipcast.operators.clean import dedupe_orders
 from shipcast.operators.monitor import to_predictions
-from shipcast.streaming.ingest import _exists
+from shipcast.sources.layers import has_files
 
 
 def score_batch(batch: DataFrame, epoch_id: int, predictions_path: str, scorer: Callable[[DataFrame], DataFrame],
                 prob_col: str, run_start: str, model_version: str) -> None:
     spark = batch.sparkSession
     todo = dedupe_orders(batch)
-    if _exists(spark, predictions_path):
+    if has_files(spark, predictions_path):
         todo = todo.join(spark.read.parquet(predictions_path).select("order_id"), "order_id", "left_anti")
-    run_ts = F.lit(run_start).cast("timestamp_ntz") + F.make_dt_interval(F.lit(int(epoch_id)))
+    run_ts = F.lit(run_start).cast("timestamp_ntz")
     preds = to_predictions(scorer(todo), prob_col, run_ts, model_version=model_version)
     preds.write.mode("append").parquet(predictions_path)
 

@@ -84,3 +84,49 @@ def test_performance_row_alert_inclusive(spark):
     assert r["accuracy_drop_alert"] is True and r["f1_drop_alert"] is True
     assert r["roc_auc_delta"] is None and r["comparison_source"] == "performance_table"
     assert len(r) == 40
+
+
+def test_page_sizes_are_checked(spark):
+    import pytest
+
+    from shipcast.operators.metrics import latest_orders
+    from shipcast.operators.monitor import latest_predictions
+
+    df = spark.createDataFrame([(f"o{k}", f"2001-01-0{k % 9 + 1} 00:00:00") for k in range(20)], "order_id string, t string")
+    df = df.select("order_id", F.col("t").cast("timestamp_ntz").alias("order_timestamp"))
+    for bad in (0, 1001):
+        with pytest.raises(ValueError):
+            latest_orders(df, bad)
+    with pytest.raises(ValueError):
+        latest_predictions(df, 501)
+    newest = [r["order_id"] for r in latest_orders(df, 20).collect()]
+    assert [r["order_id"] for r in latest_orders(df, 5, 7).collect()] == newest[7:12]
+
+
+def test_cap_keeps_the_oldest_rows(spark):
+    from shipcast.operators.metrics import cap_rows
+
+    rows = [(f"o{k:03d}", None if k % 50 == 0 else f"200{k % 3}-0{k % 2 + 1}-01 0{k % 4}:0{k % 5}:{k % 60:02d}") for k in range(300)]
+    df = spark.createDataFrame(rows, "order_id string, t string").select("order_id", F.col("t").cast("timestamp_ntz").alias("order_timestamp"))
+    order = [r["order_id"] for r in df.orderBy("order_timestamp", "order_id").collect()]
+    for n in (1, 6, 7, 50, 137, 299, 300, 400):
+        assert sorted(r["order_id"] for r in cap_rows(df, n).collect()) == sorted(order[:n])
+    assert cap_rows(df, None).count() == 300
+
+
+def test_iso_text_keeps_fractions(spark):
+    from shipcast.functions.expr import iso_timestamp
+
+    df = spark.createDataFrame([("2001-02-03 04:05:06.123456",), ("2001-02-03 04:05:06",), (None,)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    assert [r[0] for r in df.select(iso_timestamp("t")).collect()] == ["2001-02-03T04:05:06.123456+00:00", "2001-02-03T04:05:06+00:00", None]
+
+
+def test_layers_follow_their_input(spark, tmp_path):
+    from shipcast.sources.layers import layer
+
+    src = str(tmp_path / "in")
+    spark.range(5).write.parquet(src)
+    read = lambda: layer(spark, src, "probe", lambda: spark.read.parquet(src)).count()
+    assert read() == read() == 5
+    spark.range(3).write.mode("append").parquet(src)
+    assert read() == 8

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shipcast.operators.clean import dedupe_orders
 from shipcast.plans.medallion import raw_orders
 from shipcast.streaming.budget import budget_breaches, encode_budget_events, stream_budget_breaches
-from shipcast.streaming.ingest import stream_ingest
+from shipcast.streaming.ingest import ingest_batch, latest_ingestion_logs, stream_ingest
 from shipcast.streaming.score import stream_score
 from shipcast.operators.monitor import rule_score
 
@@ -45,6 +45,31 @@ def test_ingest_replay_is_idempotent(spark, sf_small):
     assert ops2.count() == expected
     logs = spark.read.parquet(paths["log_path"])
     assert logs.where("status = 'success'").count() == logs.count() >= 2
+    # the same files under a new checkpoint folder: no row of the first stream is replaced
+    before = spark.read.parquet(paths["raw_path"]).count()
+    stream_ingest(spark, src, schema, **(paths | {"checkpoint": os.path.join(root, "ckpt2")})).awaitTermination()
+    assert spark.read.parquet(paths["raw_path"]).count() == before + spark.read.parquet(src).count()
+    assert spark.read.parquet(paths["ops_path"]).count() == expected
+
+
+def test_retried_epoch_keeps_its_counts(spark, sf_small):
+    root = tempfile.mkdtemp(prefix="shipcast-retry-")
+    ops, raw, log = (os.path.join(root, n) for n in ("ops", "raw", "log"))
+    batch = raw_orders(spark, sf_small).limit(40)
+    batch.write.parquet(os.path.join(root, "in"))
+    batch = spark.read.parquet(os.path.join(root, "in"))
+    for _ in range(2):
+        ingest_batch(batch, 0, ops, raw, log, stream="a")
+    n = dedupe_orders(batch).count()
+    row = spark.read.parquet(log).collect()
+    assert len(row) == 1 and (row[0]["rows_generated"], row[0]["rows_inserted_sqlite"], row[0]["rows_inserted_bigquery"], row[0]["status"]) == (40, n, 40, "success")
+    assert spark.read.parquet(raw).count() == 40 and spark.read.parquet(ops).count() == n
+    # a warehouse that cannot be written
+    with open(os.path.join(root, "file"), "w") as f:
+        f.write("x")
+    ingest_batch(batch, 1, ops, os.path.join(root, "file", "raw"), log, stream="a")
+    last = latest_ingestion_logs(spark.read.parquet(log), 1).first()
+    assert (last["status"], last["rows_inserted_sqlite"], last["rows_inserted_bigquery"]) == ("warning", 0, 0) and last["message"]
 
 
 def test_score_stream_scores_each_order_once(spark, sf_small):
@@ -55,10 +80,11 @@ def test_score_stream_scores_each_order_once(spark, sf_small):
     preds = os.path.join(root, "preds")
     args = dict(predictions_path=preds, checkpoint=os.path.join(root, "ckpt"), scorer=rule_score,
                 prob_col="rule_probability", run_start="2001-08-02 01:00:00")
-    stream_score(spark, src, schema, **args).awaitTermination()
+    stream_score(spark, src, schema, max_files_per_trigger=1, **args).awaitTermination()
     p = spark.read.parquet(preds)
     n = spark.read.parquet(src).select("order_id").distinct().count()
     assert p.count() == n == p.select("order_id").distinct().count()
+    assert [str(r[0]) for r in p.select("prediction_timestamp").distinct().collect()] == ["2001-08-02 01:00:00"]
 
 
 def test_budget_stream_matches_batch(spark, sf_small):
