@@ -183,7 +183,8 @@ def test_shards_match_the_mixture(spark, shards, odd_docs, no_docs):
     for k, n in count.items():
         assert sorted(r["slot"] for r in rows if r["shard"] == k) == list(range(n))
     size, each = collections.Counter(r["source"] for r in rows), collections.Counter((r["source"], r["shard"]) for r in rows)
-    assert all(abs(each[s, k] - n / shards) <= 2 for s, n in size.items() for k in range(shards))
+    # A cut lies off its place by half a row of each source at most; a source gets its share of that, and rounds its own.
+    assert all(abs(each[s, k] - n / shards) <= 2 * (len(size) / 2 * n / 5000 + 1) for s, n in size.items() for k in range(shards))
     for r in rows[:200]:
         text = f"text {r['doc_id'] % 50}".encode()
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(text) + 1, zlib.crc32(text), "rows", None)
