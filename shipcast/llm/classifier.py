@@ -162,9 +162,15 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def quality_weights(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Weights for ``labels.quality``, learnt from the rows not held out."""
-    own = labels.where(~held_out()).select("doc_id", F.col("quality").alias("label")).where("label is not null")
-    return train(docs.select("doc_id", "text").join(own, "doc_id"))
+    """Weights for ``labels.quality``, learnt from the rows not held out.
+
+    The labels are cut to ``MAX_LABELLED`` (by the hash of their id) before
+    the texts are read, so that a bounded table is broadcast and the texts
+    of other documents are never shuffled."""
+    own = labels.where(~held_out()).select("doc_id", F.col("quality").alias("label")).where("label is not null and doc_id is not null").distinct()
+    share = MAX_LABELLED / max(own.count(), MAX_LABELLED)
+    cut = own.where((F.xxhash64(F.col("doc_id").cast("string")) / F.lit(2.0 ** 64) + 0.5) < F.lit(share))
+    return train(docs.select("doc_id", "text").join(F.broadcast(cut), "doc_id"))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
