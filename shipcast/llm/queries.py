@@ -1,5 +1,4 @@
-"""The registered queries of this subpackage, and oracle SQL where it can say
-the same."""
+"""The registered queries of this subpackage."""
 
 from __future__ import annotations
 
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shipcast.llm import classifier, decontaminate, html_extract, line_dedup, pieces, pii, quality_rules, sharding, simhash, url_filters
 from shipcast.llm.common import table
+from shipcast.llm.oracle import ORACLE  # noqa: F401
 
 #: Folder of the public tokenizer files.
 TOKENIZERS = "/opt/tokenizers"
@@ -82,15 +82,3 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sharding, op2_quality_rules, op3_url_filters, op4_line_dedup, op5_simhash, op6_decontamination, op7_html_extraction, op8_pii, op9_quality_classifier, op10_sentencepiece, pipeline)}
-
-#: DuckDB SQL for the rows of a query.
-ORACLE: dict[str, str] = {"op4_line_dedup": """
-WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split),
-keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
-                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line),
-held AS (SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
-marked AS (SELECT k.*, h.key IS NOT NULL AND k.doc_id <> h.keeper AS gone FROM keyed k LEFT JOIN held h USING (key))
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id"""}
