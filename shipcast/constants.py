@@ -23,10 +23,6 @@ CARRIERS = [
     ("NationalPost", 0.130, 0.75),
 ]
 
-WEATHER = ["clear", "rain", "storm", "fog", "heatwave"]
-ROUTE_TYPES = ["urban", "regional", "long_haul", "remote"]
-TRAFFIC = ["low", "medium", "high", "severe"]
-
 PEAK_HOURS = [8, 9, 10, 11, 12, 18, 19, 20, 21]
 WEEKEND_FROM_WEEKDAY = 5  # Monday = 0
 EARTH_RADIUS_KM = 6371.0
@@ -95,11 +91,6 @@ ML_DROP_COLUMNS = ["delivery_status", "actual_delivery_days", "delay_probability
                    "ingestion_timestamp", "order_timestamp"]
 MAX_CAT_CARDINALITY = 80
 
-# Small baseline model: 13 features.
-BASELINE_FEATURES = ["state", "city", "product_category", "order_value", "order_weight_kg", "distance_km",
-                     "carrier", "dc_id", "promised_delivery_days", "estimated_delivery_days", "day_of_week",
-                     "order_hour", "is_weekend"]
-
 # Business costs / values of the threshold search and business evaluation.
 VALUE_TRUE_POSITIVE = 80.0
 COST_FALSE_POSITIVE = 15.0

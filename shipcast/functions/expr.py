@@ -8,7 +8,7 @@ No Python UDFs.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -174,10 +174,6 @@ def deterministic_id(*parts: str | Column) -> Column:
     return F.sha2(F.concat_ws("|", *[col(p).cast("string") for p in parts]), 256)
 
 
-def round_all(cols: Iterable[str], digits: int = 6) -> list[Column]:
-    return [F.round(F.col(c), digits).alias(c) for c in cols]
-
-
 # -- exact sums of fixed-point values ------------------------------------------
 
 def exact_sum(x: str | Column, scale: int) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipcast import constants as K
-from shipcast.functions.expr import exact_avg
 from shipcast.operators.ordered import running_sum
 
 SCORE_SCALE = 10  # decimals kept when summing probabilities exactly
@@ -34,7 +33,12 @@ def score_curve(df: DataFrame, label: str = "label", score: str = "score",
     agg = df.groupBy(*group, score).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg"))
-    cur = running_sum(agg, [F.col(score).desc()], ["pos", "neg"], group=group)
+    return _curve(agg, score, group)
+
+
+def _curve(counts: DataFrame, score: str, group: list[str]) -> DataFrame:
+    """The curve of one row per (group, score) with ``pos`` and ``neg``."""
+    cur = running_sum(counts, [F.col(score)], ["pos", "neg"], group=group, descending=True)
     return cur.select(*group, F.col(score).alias("score"), "pos", "neg",
                       F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"))
 
@@ -92,19 +96,19 @@ def prediction_metrics(df: DataFrame, label: str = "label", pred: str = "predict
                   (F.col(band) if band else F.lit(None).cast("string")).alias("_b"))
     if not missing_label_as_zero:
         d = d.where(F.col("_y").isNotNull())
-    yy, pp = F.col("_y"), F.col("_p")
-    base = d.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("evaluated_rows"),
-        F.count_if(yy == 1).alias("positive_labels"),
-        F.count_if(pp == 1).alias("positive_predictions"),
-        F.count_if((yy == 1) & (pp == 1)).alias("true_positives"),
-        F.count_if((yy == 0) & (pp == 1)).alias("false_positives"),
-        F.count_if((yy == 1) & (pp == 0)).alias("false_negatives"),
-        F.count_if((yy == 0) & (pp == 0)).alias("true_negatives"),
-        exact_avg("_s", SCORE_SCALE).alias("avg_delay_probability"),
-        F.count_if(F.col("_b") == "high").alias("high_risk_orders"),
-        F.count_if(F.col("_b") == "medium").alias("medium_risk_orders"),
-        F.count_if(F.col("_b") == "low").alias("low_risk_orders"))
+    # One row per distinct score holds all the counts, so the rows are read
+    # and shuffled once for both the totals and the curve.
+    yy, pp, bb = F.col("_y"), F.col("_p"), F.col("_b")
+    counts = {"evaluated_rows": F.lit(True), "positive_labels": yy == 1, "positive_predictions": pp == 1,
+              "true_positives": (yy == 1) & (pp == 1), "false_positives": (yy == 0) & (pp == 1),
+              "false_negatives": (yy == 1) & (pp == 0), "true_negatives": (yy == 0) & (pp == 0),
+              "high_risk_orders": bb == "high", "medium_risk_orders": bb == "medium", "low_risk_orders": bb == "low"}
+    cells = d.groupBy(*group, "_s").agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
+    rows = F.when(F.col("_s").isNotNull(), F.col("evaluated_rows"))
+    exact = F.sum(F.col("_s").cast(f"decimal(18,{SCORE_SCALE})") * rows.cast("decimal(18,0)")).cast("double")
+    base = cells.groupBy(*group).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in counts],
+        F.when(F.sum(rows) > 0, exact / F.sum(rows)).alias("avg_delay_probability"))
     tp, fp, fn = F.col("true_positives"), F.col("false_positives"), F.col("false_negatives")
     n = F.col("evaluated_rows")
     base = base.select(
@@ -113,7 +117,9 @@ def prediction_metrics(df: DataFrame, label: str = "label", pred: str = "predict
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
         _ratio(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn).alias("f1"))
-    curve = auc_ap(score_curve(d, "_y", "_s", group=group), group=group)
+    scores = cells.select(*group, "_s", F.col("positive_labels").alias("pos"),
+                          (F.col("evaluated_rows") - F.col("positive_labels")).alias("neg"))
+    curve = auc_ap(_curve(scores, "_s", group), group=group)
     out = base.join(curve, group, "left") if group else _one_row_join(base, curve)
     return out.select(*group, *METRIC_COLUMNS)
 
@@ -128,7 +134,7 @@ def threshold_table(curve: DataFrame, tp_value: float = K.VALUE_TRUE_POSITIVE,
     curve columns are carried along."""
     group = group or []
     totals = curve.groupBy(*group).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    c = curve.join(F.broadcast(totals), group) if group else _one_row_join(curve, totals)
+    c = curve.join(totals, group) if group else _one_row_join(curve, totals)
     tp, fp = F.col("tp"), F.col("fp")
     fn = F.col("P") - tp
     n = F.col("P") + F.col("N")
@@ -260,11 +266,6 @@ def evaluate_candidates(df: DataFrame, label: str = "label", score: str = "score
         F.col("business_score").alias("business_score_per_order"))
 
 
-def evaluate_candidate(df: DataFrame, name: str, label: str = "label", score: str = "score") -> DataFrame:
-    """One candidate (see ``evaluate_candidates``)."""
-    return evaluate_candidates(df.withColumn("_name", F.lit(name)), label, score, "_name")
-
-
 def select_best_model(results: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Mark the best candidate by selection score (first candidate
     wins ties, by ``position``)."""
@@ -272,3 +273,19 @@ def select_best_model(results: DataFrame, order: list[str] | None = None) -> Dat
                        .alias("best_name"))
     return _one_row_join(results, best).withColumn(
         "is_best", F.col("name") == F.col("best_name")).drop("best_name")
+
+
+def class_metrics(df: DataFrame, label: str = "label", score: str = "score", name: str = "name",
+                  threshold: float = K.CLASS_THRESHOLD) -> DataFrame:
+    """The small trainer's report: per candidate precision, recall and f1 of
+    the class at ``threshold``, and ROC AUC."""
+    d = df.withColumn("_class", F.when(F.col(score) >= threshold, 1).otherwise(0))
+    m = prediction_metrics(d, label, "_class", score, band=None, group=[name])
+    return m.select(F.col(name).alias("name"), "precision", "recall", "f1", "roc_auc")
+
+
+def rank_by_recall(results: DataFrame) -> DataFrame:
+    """Mark the candidate with the highest recall, then f1, then ROC AUC
+    (the first candidate wins ties, by ``position``)."""
+    best = results.agg(F.max_by("name", F.struct("recall", "f1", "roc_auc", -F.col("position"))).alias("best_name"))
+    return _one_row_join(results, best).withColumn("is_best", F.col("name") == F.col("best_name")).drop("best_name")

@@ -64,14 +64,6 @@ def gold_features(silver: DataFrame) -> DataFrame:
                          + F.col("route_risk_score")) / F.lit(3.0))
 
 
-TRAINING_ADDED = ["order_date", "order_year", "order_month", "order_day", "order_day_of_week", "order_hour",
-                  "is_weekend", "is_peak_hour", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin",
-                  "month_cos", "same_state_dc", "estimated_minus_promised_days", "estimated_over_promised",
-                  "log_order_value", "log_distance_km", "log_weight_kg", "value_per_kg", "value_per_km",
-                  "weight_distance_interaction", "distance_band", "weight_band", "traffic_risk_score",
-                  "weather_risk_score", "route_risk_score", "combined_operational_risk"]
-
-
 def training_features(df: DataFrame, target: str = "delay_risk_label") -> DataFrame:
     """The training-set feature definition (calendar recomputed from the
     timestamp, epsilon ratios, right-closed bins, rank maps, summed risk)."""
@@ -182,38 +174,23 @@ def ml_ready_decisions(df: DataFrame, target: str = "delay_risk_label",
     column_name, position, non_null, reason (leakage_or_id /
     high_cardinality / all_null / constant; NULL = kept).
 
-    Per column: the non-NULL count, min == max (exact "at most one distinct
-    value") and, for categoricals, an HLL distinct estimate; categoricals are
-    unpivoted and grouped, the other columns reduced natively in one row.
-    Only categoricals whose estimate lies near the cardinality cap get an
-    exact ``count(DISTINCT)`` in a narrow scan, so the result is exact
-    without one distinct-aggregation per column over all the data.
-    The stats are one row per column, so building the table on the driver is
-    bounded by the schema, not the data.
+    One aggregate over the table gives per column the non-NULL count, min ==
+    max (exact "at most one distinct value") and, for categoricals, an HLL
+    distinct estimate; it has no key, so nothing is sorted or shuffled but
+    one row of each task. Only categoricals whose estimate lies within a
+    factor of two of the cardinality cap (25 standard errors of the estimate)
+    get an exact ``count(DISTINCT)`` in a narrow scan. The stats are one row,
+    so building the table on the driver is bounded by the schema, not the
+    data.
     """
     fields = list(df.schema.fields)
-    stats = {}
-    # categoricals: unpivot to (position, value-as-text) and aggregate per
-    # column (non-NULL count, min == max, HLL estimate) instead of three
-    # aggregates per column in one row
-    cats = [(i, f) for i, f in enumerate(fields) if _is_categorical(f.dataType)]
-    if cats:
-        pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("position"), F.col(f"`{f.name}`").cast("string").alias("v"))
-            for i, f in cats])).alias("p")).select("p.*")
-        for r in pairs.groupBy("position").agg(
-                F.count("v").alias("nn"), (F.min("v") == F.max("v")).alias("one"),
-                F.approx_count_distinct("v", 0.02).alias("hll")).collect():
-            name = fields[r["position"]].name
-            stats[f"nn__{name}"], stats[f"one__{name}"], stats[f"hll__{name}"] = r["nn"], r["one"], r["hll"]
-    # other columns need no distinct estimate: count and min == max on the
-    # native values in one row (no per-value text formatting)
-    others = [f for f in fields if not _is_categorical(f.dataType)]
-    if others:
-        row = df.agg(*[a for f in others for a in (
-            F.count(F.col(f"`{f.name}`")).alias(f"nn__{f.name}"),
-            (F.min(F.col(f"`{f.name}`")) == F.max(F.col(f"`{f.name}`"))).alias(f"one__{f.name}"))]).first()
-        stats.update(row.asDict())
+    aggs = []
+    for f in fields:
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count(c).alias(f"nn__{f.name}"), (F.min(c) == F.max(c)).alias(f"one__{f.name}")]
+        if _is_categorical(f.dataType):
+            aggs.append(F.approx_count_distinct(c, 0.02).alias(f"hll__{f.name}"))
+    stats = df.agg(*aggs).first().asDict()
     lo, hi = max_cat_cardinality // 2, max_cat_cardinality * 2
     near = [f.name for f in fields if _is_categorical(f.dataType)
             and lo <= stats[f"hll__{f.name}"] <= hi]

@@ -1,10 +1,10 @@
-"""Business hypothesis tests H1–H10 (A10, P16, F23) in one pass.
+"""Business hypothesis tests H1–H10 (A10, P16, F23) from one scan.
 
-H1–H9 are conditional aggregates of a single scan; H10 needs the per-state
-rates (a grouped aggregate with partial aggregation) and picks the state
-with the highest rate among states with at least max(100, 0.001·n) rows
-(ties: first state in name order). An empty candidate set gives
-INCONCLUSIVE instead of an error.
+One grouped aggregate by the feature of H10 holds every counter of every
+group (partial aggregation first). H1–H9 and the overall rate are its sums;
+H10 picks the group with the highest rate among those with at least
+max(100, 0.001·n) rows (ties: first in name order). An empty candidate set
+gives INCONCLUSIVE instead of an error.
 """
 
 from __future__ import annotations
@@ -26,48 +26,39 @@ def _mask(feature: str, cond: str) -> Column:
 
 def hypothesis_tests(df: DataFrame, target: str = "delay_risk_label") -> DataFrame:
     y = F.col(target).cast("double")
-    simple = [h for h in K.HYPOTHESES if h[3] != "top_vs_overall" and h[2] in df.columns]
-    aggs = [F.count(F.lit(1)).alias("_n"), F.sum(y).alias("_s")]
+    top_id, _stmt, top, _cond = next(h for h in K.HYPOTHESES if h[3] == "top_vs_overall")
+    simple = [h for h in K.HYPOTHESES if h[0] != top_id and h[2] in df.columns]
+    counters = {"_n": F.count(F.lit(1)), "_s": F.sum(y), "_m": F.count(y)}
     for hid, _stmt, feat, cond in simple:
         m = _mask(feat, cond)
-        aggs += [F.count_if(m).alias(f"n_{hid}"), F.sum(F.when(m, y)).alias(f"s_{hid}")]
-    one = df.agg(*aggs)
+        counters |= {f"n_{hid}": F.count_if(m), f"s_{hid}": F.sum(F.when(m, y))}
+    by = F.col(top).cast("string") if top in df.columns else F.lit(None).cast("string")
+    groups = df.groupBy(by.alias("_v")).agg(*[c.alias(n) for n, c in counters.items()])
+    one = groups.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) if n.startswith(("_n", "n_")) else F.sum(n).alias(n) for n in counters])
 
+    none = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("double")
     rows = []
     for hid, stmt, feat, cond in K.HYPOTHESES:
         if feat not in df.columns:
-            rows.append((hid, stmt, feat, F.lit(None).cast("string"), F.lit(None).cast("long"),
-                         F.lit(None).cast("double"), F.lit(None).cast("double"), None))
-            continue
-        if cond == "top_vs_overall":
-            continue
-        rows.append((hid, stmt, feat, F.lit(cond if cond != "positive" else "positive"),
-                     F.col(f"n_{hid}"),
-                     F.when(F.col(f"n_{hid}") > 0, F.col(f"s_{hid}") / F.col(f"n_{hid}")), None, None))
-
-    base = one.select(
-        "_n", "_s",
-        F.explode(F.array(*[
-            F.struct(F.lit(hid).alias("id"), F.lit(stmt).alias("hypothesis"), F.lit(feat).alias("feature"),
-                     c.alias("condition"), n.cast("long").alias("segment_count"),
-                     r.cast("double").alias("segment_rate"))
-            for hid, stmt, feat, c, n, r, _a, _b in rows])).alias("h")).select("_n", "_s", "h.*")
-
-    hid, stmt, feat, _ = [h for h in K.HYPOTHESES if h[3] == "top_vs_overall"][0]
-    if feat in df.columns:
-        g = df.groupBy(feat).agg(F.count(F.lit(1)).alias("cnt"), F.avg(y).alias("rate"))
-        tot = one.select("_n", "_s")
-        cand = (g.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
-                 .where(F.col("cnt") >= F.greatest(F.lit(float(K.H10_MIN_GROUP)),
-                                                   F.col("_n") * F.lit(K.H10_MIN_SHARE))))
-        top = _top_group(cand, feat)
-        h10 = top.select(
-            F.lit(hid).alias("id"), F.lit(stmt).alias("hypothesis"), F.lit(feat).alias("feature"),
-            F.col("v").alias("condition"), F.coalesce(F.col("cnt"), F.lit(0)).cast("long").alias("segment_count"),
-            F.col("rate").cast("double").alias("segment_rate"))
-        h10 = (h10.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
-                  .drop("_k").select("_n", "_s", *h10.columns))
-        base = base.unionByName(h10)
+            rows.append((hid, stmt, feat, *none))
+        elif hid == top_id:
+            t = F.col("_top")
+            rows.append((hid, stmt, feat, t["v"], F.coalesce(t["cnt"], F.lit(0)), t["rate"]))
+        else:
+            n = F.col(f"n_{hid}")
+            rows.append((hid, stmt, feat, F.lit(cond), n, F.when(n > 0, F.col(f"s_{hid}") / n)))
+    if top in df.columns:
+        least = F.greatest(F.lit(float(K.H10_MIN_GROUP)), F.col("_all") * F.lit(K.H10_MIN_SHARE))
+        rate = F.when(F.col("_m") > 0, F.col("_s") / F.col("_m"))
+        sized = groups.join(F.broadcast(one.select(F.col("_n").alias("_all"))), F.col("_n") >= 0)  # one row on the right
+        best = sized.where((F.col("_n") >= least) & (F.col("_m") > 0)).agg(
+            F.min_by(F.struct(F.col("_v").alias("v"), F.col("_n").alias("cnt"), rate.alias("rate")),
+                     F.struct(-rate, F.col("_v").isNull(), F.col("_v"))).alias("_top"))
+        one = one.join(F.broadcast(best), F.col("_n") >= 0)  # one row on both sides
+    base = one.select("_n", "_s", F.explode(F.array(*[
+        F.struct(F.lit(hid).alias("id"), F.lit(stmt).alias("hypothesis"), F.lit(feat).alias("feature"),
+                 c.alias("condition"), n.cast("long").alias("segment_count"), r.cast("double").alias("segment_rate"))
+        for hid, stmt, feat, c, n, r in rows])).alias("h")).select("_n", "_s", "h.*")
 
     overall = F.when(F.col("_n") > 0, F.col("_s") / F.col("_n"))
     cnt, rate = F.col("segment_count"), F.col("segment_rate")
@@ -81,14 +72,3 @@ def hypothesis_tests(df: DataFrame, target: str = "delay_risk_label") -> DataFra
     return base.select("id", "hypothesis", "feature", "condition", "segment_count", "segment_rate",
                        overall.alias("overall_rate"), lift.alias("lift"), verdict.alias("verdict"),
                        insight.alias("business_insight"))
-
-
-def _top_group(cand: DataFrame, feat: str) -> DataFrame:
-    """Highest-rate group; equal rates resolve to the smallest group name.
-    Always one row (all NULL when no group qualifies)."""
-    ranked = cand.select(F.col(feat).cast("string").alias("v"), "cnt", "rate")
-    best_rate = ranked.agg(F.max("rate").alias("best"))
-    j = (ranked.withColumn("_k", F.lit(1)).join(F.broadcast(best_rate.withColumn("_k", F.lit(1))), "_k")
-               .where(F.col("rate") == F.col("best")))
-    first = j.agg(F.min_by(F.struct("v", "cnt", "rate"), F.col("v")).alias("t"))
-    return first.select("t.*")

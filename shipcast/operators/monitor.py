@@ -122,18 +122,11 @@ def latest_batch_performance(predictions: DataFrame, features: DataFrame, before
 
 def run_metrics(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     """Per-run metrics of every prediction batch (labels joined on order id;
-    missing label counts as 0, the current-batch rule).
-
-    The result has one row per scoring run and is read several times (run
-    history, last run, the monitoring row), so it is written once to the
-    shared checkpoint folder when one is set instead of re-running the join
-    and the grouped curves for every use."""
+    missing label counts as 0, the current-batch rule): one row per scoring
+    run, the content of the performance table."""
     j = predictions.join(labels.select("order_id", "delay_risk_label"), "order_id", "left")
-    runs = prediction_metrics(j, "delay_risk_label", "delay_prediction", "delay_probability", "risk_band",
+    return prediction_metrics(j, "delay_risk_label", "delay_prediction", "delay_probability", "risk_band",
                               missing_label_as_zero=True, group=["prediction_timestamp"])
-    if runs.sparkSession.sparkContext.getCheckpointDir():
-        runs = runs.checkpoint(eager=True)
-    return runs
 
 
 def performance_history(runs: DataFrame, limit: int | None = None) -> DataFrame:
@@ -156,28 +149,38 @@ def last_performance(history: DataFrame) -> DataFrame:
     return history.agg(F.max_by(F.struct(*fields), F.col("run_timestamp")).alias("r")).select("r.*")
 
 
-def performance_row(current: DataFrame, last_recorded: DataFrame | None, previous_batch: DataFrame,
+def newest_runs(runs: DataFrame, n: int) -> DataFrame:
+    """The last ``n`` runs of the performance table (a small page)."""
+    return runs.orderBy(F.col("prediction_timestamp").desc()).limit(n)
+
+
+def performance_row(current: DataFrame, last_recorded: DataFrame | None, previous_batch: DataFrame | None,
                     run_timestamp: str, model_version: str = "rule-baseline-v1", scoring_mode: str = "local",
                     endpoint_id: str = "local",
                     accuracy_alert: float = K.ACCURACY_DROP_ALERT_THRESHOLD,
                     f1_alert: float = K.F1_DROP_ALERT_THRESHOLD) -> DataFrame:
     """M14 + M15: one 40-field monitoring row. Baseline = the last recorded
-    run if any, else the previous batch's metrics; deltas are NULL-safe and
-    alerts fire at ``delta <= -|threshold|``. ``created_at`` is the run
+    run if any, else the previous batch's metrics (either may be None);
+    metrics that are NaN or infinite become NULL (F16); deltas are NULL-safe
+    and alerts fire at ``delta <= -|threshold|``. ``created_at`` is the run
     timestamp and ``run_id`` a hash of it, so a retried run writes the same
     row."""
     def base_of(df: DataFrame, source: str) -> DataFrame:
         return df.select(F.lit(1).alias("_k"), F.col("run_timestamp").alias("b_run_timestamp"),
-                         *[F.col(m).alias(f"b_{m}") for m in BASELINE_METRICS],
+                         *[X.finite_or_null(m).alias(f"b_{m}") for m in BASELINE_METRICS],
                          F.lit(source).alias("b_source")).where(F.col("b_run_timestamp").isNotNull())
 
-    cands = base_of(previous_batch, "latest_prediction_batch").withColumn("_pri", F.lit(2))
-    if last_recorded is not None:
-        cands = base_of(last_recorded, "performance_table").withColumn("_pri", F.lit(1)).unionByName(cands)
+    found = [base_of(df, source).withColumn("_pri", F.lit(k)) for k, (df, source) in enumerate(
+        ((last_recorded, "performance_table"), (previous_batch, "latest_prediction_batch"))) if df is not None]
+    if not found:
+        found = [base_of(current.withColumn("run_timestamp", F.lit(None).cast("timestamp_ntz")), "").withColumn("_pri", F.lit(0))]
+    cands = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     bcols = ["b_run_timestamp", *[f"b_{m}" for m in BASELINE_METRICS], "b_source"]
     baseline = cands.groupBy("_k").agg(F.min_by(F.struct(*bcols), F.col("_pri")).alias("b")).select("_k", "b.*")
     ts = F.lit(run_timestamp).cast("timestamp_ntz")
-    cur = current.withColumn("_k", F.lit(1)).join(F.broadcast(baseline), "_k", "left")
+    guarded = current.withColumns({f.name: X.finite_or_null(f.name) for f in current.schema.fields
+                                   if f.name in METRIC_COLUMNS and f.dataType.typeName() == "double"})
+    cur = guarded.withColumn("_k", F.lit(1)).join(F.broadcast(baseline), "_k", "left")
 
     def delta(m: str):
         # compared at 6 decimals, so a drop of exactly the threshold alerts

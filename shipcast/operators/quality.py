@@ -8,12 +8,14 @@ ever gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shipcast import constants as K
-from shipcast.operators.ordered import running_sum
+from shipcast.operators.ordered import value_buckets
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -47,48 +49,57 @@ def column_audit(df: DataFrame) -> DataFrame:
                     "is_leakage"))
 
 
-def _stack_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
-    return (df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in cols]))
-        .alias("s")).select("s.*").where(F.col("value").isNotNull()))
-
-
 def numeric_summary(df: DataFrame, cols: list[str] | None = None,
                     quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
     """Count, mean, sample std, min, exact 25/50/75 % (linear
     interpolation between order statistics), max per numeric column.
 
-    Exact quantiles without collecting a column: count rows per (column,
-    distinct value), take running counts along the value order
-    (``running_sum``: range-partitioned, no single-task window), then pick
-    the order statistics around each quantile position.
+    Three scans: the moments of all columns as one row; the counts of each
+    column's value buckets (bounded, see ``value_buckets``), which say in
+    which buckets the wanted ranks lie; and the distinct values of those
+    buckets alone. The moments and the target buckets are a few rows for each
+    column, so what the driver sees is bounded by the schema.
     """
     cols = cols or numeric_columns(df)
-    st = _stack_numeric(df, cols)
-    moments = st.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    freq = st.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("c"))
-    cum = running_sum(freq, [F.col("value")], ["c"], group=["column_name"])
-    sizes = moments.select("column_name", F.col("count").alias("_n"))  # one row per column
-    cum = cum.join(F.broadcast(sizes), "column_name")
-    picks = []
-    for q in quantiles:
-        h = (F.col("_n") - 1) * F.lit(q)
-        lo_k, hi_k = F.floor(h), F.ceil(h)
-        k = int(round(q * 100))
-        picks += [F.min(F.when(F.col("c_cum") > lo_k, F.col("value"))).alias(f"lo_{k}"),
-                  F.min(F.when(F.col("c_cum") > hi_k, F.col("value"))).alias(f"hi_{k}"),
-                  F.first(h - lo_k).alias(f"t_{k}")]
-    qs = cum.groupBy("column_name").agg(*picks)
-    out = moments.join(qs, "column_name")
-    qcols = []
-    for q, name in zip(quantiles, ("p25", "p50", "p75")):
-        k = int(round(q * 100))
-        a, b, t = F.col(f"lo_{k}"), F.col(f"hi_{k}"), F.col(f"t_{k}")
-        qcols.append(F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t).alias(name))
-    return out.select("column_name", F.col("count").cast("long").alias("count"), "mean", "std", "min",
-                      *qcols, "max")
+    names = ("count", "mean", "std", "min", "max")
+    values = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    moments = df.agg(*[f(v).alias(f"{i}_{n}") for i, v in enumerate(values.values())
+                       for n, f in zip(names, (F.count, F.avg, F.stddev_samp, F.min, F.max))]).first().asDict()
+    stats = [{n: moments[f"{i}_{n}"] for n in names} for i in range(len(cols))]
+    cells = []
+    for i, v in enumerate(values.values()):
+        lo, hi = stats[i]["min"] or 0.0, stats[i]["max"] or 0.0
+        span = hi - lo if 0 < hi - lo < math.inf else 1.0
+        cells.append(F.struct(F.lit(i).alias("c"), v.alias("v"), F.lit(float(lo)).alias("lo"), F.lit(float(span)).alias("span")))
+    stacked = df.select(F.explode(F.array(*cells)).alias("s")).select("s.*").where(F.col("v").isNotNull())
+    part, size = value_buckets(F.col("v"), F.col("lo"), F.col("span"))
+    stacked = stacked.select("c", "v", part.alias("part"), size.alias("size"))
+    along = Window.partitionBy("c").orderBy("part", "size").rowsBetween(Window.unboundedPreceding, -1)
+    counted = (stacked.groupBy("c", "part", "size").agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0))))
+    ranks = {(i, q): (s["count"] - 1) * q for i, s in enumerate(stats) for q in quantiles if s["count"]}
+    wanted = df.sparkSession.createDataFrame(
+        sorted({(i, int(k)) for (i, _q), h in ranks.items() for k in (math.floor(h), math.ceil(h))}), "c int, rank long")
+    inside = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))
+    targets = counted.join(F.broadcast(wanted), "c").where(inside).select("c", "part", "size", "before").distinct()
+    freq = (stacked.join(F.broadcast(targets), ["c", "part", "size"])  # at most two for each column and quantile
+            .groupBy("c", "before", "v").agg(F.count(F.lit(1)).alias("n")))
+    up = Window.partitionBy("c", "before").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = freq.withColumn("upto", F.col("before") + F.sum("n").over(up))
+    hit = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
+    found = {(r["c"], r["rank"]): r["v"] for r in upto.join(F.broadcast(wanted), "c").where(hit).select("c", "rank", "v").collect()}
+    rows = []
+    for i, (c, s) in enumerate(zip(cols, stats)):
+        if not s["count"]:
+            continue
+        marks = []
+        for q in quantiles:
+            h = ranks[i, q]
+            a, b, t = found[i, math.floor(h)], found[i, math.ceil(h)], h - math.floor(h)
+            marks.append(b - (b - a) * (1.0 - t) if t >= 0.5 else a + (b - a) * t)
+        rows.append((c, s["count"], s["mean"], s["std"], s["min"], *marks, s["max"]))
+    marks = ", ".join(f"p{int(round(q * 100))} double" for q in quantiles)
+    return df.sparkSession.createDataFrame(rows, f"column_name string, count long, mean double, std double, min double, {marks}, max double")
 
 
 def data_quality_report(df: DataFrame, target: str = "delay_risk_label",

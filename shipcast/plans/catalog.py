@@ -9,6 +9,7 @@ Layers (all derived by Spark from the input tables, whole tables):
 * ``gold``       47-column gold features
 * ``training``   silver + training-set features
 * ``predictions``replayed daily scoring runs of the rule scorer over ``ops``
+* ``performance``metrics of each of those runs
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ from shipcast import constants as K
 from shipcast import oracle as O
 from shipcast.operators.clean import DEDUPE_ORDER, clean_orders, dedupe_orders
 from shipcast.operators.features import GOLD_COLUMNS, gold_features
-from shipcast.operators.monitor import replayed_predictions
+from shipcast.operators.monitor import replayed_predictions, run_metrics
 from shipcast.plans.medallion import gold_table, raw_orders, silver_orders, training_table
 from shipcast.registry import register, rounded, sql_rounded
 from shipcast.sources.layers import layer
 from shipcast.sources.orders import RAW_COLUMNS
 
-AS_OF = "2001-08-02 00:30:00"          # fixed evaluation time (never the clock)
+AS_OF = "2001-08-01 23:30:00"          # fixed evaluation time (never the clock)
 INGEST_CUTOFF = "2000-01-01 00:00:00"  # state of the target store before a replayed ingest
 
 RAW_DOUBLES = ["latitude", "longitude", "order_value", "order_weight_kg", "product_fragility_score", "dc_latitude",
@@ -49,6 +50,12 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer(spark, sf_dir, "predictions", lambda: replayed_predictions(ops_orders(spark, sf_dir), AS_OF))
 
 
+def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The performance table: one row of metrics for each scoring run."""
+    return layer(spark, sf_dir, "performance",
+                 lambda: rounded(run_metrics(predictions(spark, sf_dir), ops_orders(spark, sf_dir))))
+
+
 def _ops_sql() -> str:
     order = [c for c in DEDUPE_ORDER if c in RAW_COLUMNS]
     rest = [c for c in RAW_COLUMNS if c not in order and c != "order_id"]

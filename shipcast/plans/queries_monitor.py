@@ -10,7 +10,7 @@ from shipcast import oracle as O
 from shipcast.functions import expr as X
 from shipcast.operators import evaluate as EV
 from shipcast.operators import monitor as MO
-from shipcast.plans.catalog import AS_OF, GOLD_DOUBLES, _q, ops_orders, predictions
+from shipcast.plans.catalog import AS_OF, GOLD_DOUBLES, _q, ops_orders, performance, predictions
 from shipcast.plans.medallion import gold_table
 from shipcast.registry import register, rnd, round_half_away, rounded, sql_rounded, xavg
 
@@ -130,14 +130,18 @@ def q_scored_today(spark: SparkSession, sf: str) -> DataFrame:
     return MO.scored_today(predictions(spark, sf), gold_table(spark, sf), AS_OF)
 
 
+# A daily limit that the as-of day has partly used up on the test tables (the operator's default is 300).
+DAILY_LIMIT = 60
+
+
 @register("remaining_quota", _q(["predictions"], f"""
-SELECT scored_today, CAST(greatest(0, least({K.BATCH_SIZE}, {K.DAILY_SCORING_LIMIT} - scored_today)) AS BIGINT)
+SELECT scored_today, CAST(greatest(0, least({K.BATCH_SIZE}, {DAILY_LIMIT} - scored_today)) AS BIGINT)
   AS remaining_quota
 FROM (SELECT count(*) FILTER (WHERE CAST(prediction_timestamp AS DATE) = CAST(TIMESTAMP '{AS_OF}' AS DATE))
       AS scored_today FROM predictions) t"""))
 def q_remaining_quota(spark: SparkSession, sf: str) -> DataFrame:
-    st = MO.scored_today(predictions(spark, sf), gold_table(spark, sf), AS_OF)
-    return MO.remaining_quota(st)
+    today = predictions(spark, sf).where(MO.on_day(F.col("prediction_timestamp"), AS_OF))
+    return MO.remaining_quota(today.agg(F.count(F.lit(1)).alias("scored_today")), daily_limit=DAILY_LIMIT)
 
 
 # -- J2, J3, A19, P13 -----------------------------------------------------------------------
@@ -316,16 +320,15 @@ FROM runs WINDOW w AS (ORDER BY g)"""
 @register("performance_history", lambda: O.with_ctes(["runs"], _history_sql()))
 def q_performance_history(spark: SparkSession, sf: str) -> DataFrame:
     """Every scoring run with the previous run's metrics and deltas."""
-    runs = MO.run_metrics(predictions(spark, sf), ops_orders(spark, sf))
-    return rounded(MO.performance_history(rounded(runs)))
+    return rounded(MO.performance_history(performance(spark, sf)))
 
 
 @register("last_performance", lambda: O.with_ctes(["runs"], f"""
 SELECT * FROM ({_history_sql()}) h ORDER BY run_timestamp DESC LIMIT 1"""))
 def q_last_performance(spark: SparkSession, sf: str) -> DataFrame:
-    """The last recorded run."""
-    runs = MO.run_metrics(predictions(spark, sf), ops_orders(spark, sf))
-    return rounded(MO.last_performance(MO.performance_history(rounded(runs))))
+    """The last recorded run, with the deltas to the one before it."""
+    last_two = MO.newest_runs(performance(spark, sf), 2)
+    return rounded(MO.last_performance(MO.performance_history(last_two)))
 
 
 def _perf_row_sql() -> str:
@@ -351,14 +354,16 @@ def q_performance_row(spark: SparkSession, sf: str) -> DataFrame:
     """M14 + M15: the monitoring row of the newest run; baseline = the last
     recorded run before it (else the previous batch), NULL-safe deltas and
     drop alerts."""
-    preds = predictions(spark, sf)
-    runs = rounded(MO.run_metrics(preds, ops_orders(spark, sf)))
+    runs = performance(spark, sf)
     last_ts = runs.agg(F.max("prediction_timestamp")).first()[0]  # the run being recorded: one scalar
     ts = last_ts.strftime("%Y-%m-%d %H:%M:%S")
     lit_ts = F.lit(ts).cast("timestamp_ntz")
     current = runs.where(F.col("prediction_timestamp") == lit_ts)
-    recorded = MO.last_performance(MO.performance_history(runs.where(F.col("prediction_timestamp") < lit_ts)))
-    previous_batch = rounded(MO.latest_batch_performance(preds, gold_table(spark, sf), ts))
+    earlier = runs.where(F.col("prediction_timestamp") < lit_ts)
+    recorded = MO.newest_runs(earlier, 1).withColumnRenamed("prediction_timestamp", "run_timestamp")
+    previous_batch = None
+    if earlier.isEmpty():
+        previous_batch = rounded(MO.latest_batch_performance(predictions(spark, sf), gold_table(spark, sf), ts))
     row = MO.performance_row(current, recorded, previous_batch, ts, model_version=MODEL_VERSION)
     return rounded(row)
 
@@ -426,3 +431,28 @@ def q_select_best_model(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(w[0]) * F.col("recall") + F.lit(w[1]) * F.col("roc_auc")
         + F.lit(w[2]) * F.col("average_precision") + F.lit(w[3]) * F.col("precision")))
     return EV.select_best_model(r)
+
+
+def _rank_by_recall_sql() -> str:
+    parts = []
+    for i, (name, expr) in enumerate(_cand_sql()):
+        ypsb = (f"SELECT delay_risk_label AS y, CASE WHEN {expr} >= {O.d(K.CLASS_THRESHOLD)} THEN 1 ELSE 0 END AS p, "
+                f"{expr} AS s, CAST(NULL AS VARCHAR) AS b FROM ({SCORED_SQL}) x")
+        parts.append(f"SELECT CAST({i} AS BIGINT) AS position, '{name}' AS name, precision, recall, f1, roc_auc FROM {metrics_sql(ypsb)} m")
+    allc = " UNION ALL ".join(parts)
+    return f"""
+SELECT c.*, c.name = (SELECT name FROM ({allc}) b ORDER BY recall DESC, f1 DESC, roc_auc DESC, position LIMIT 1) AS is_best
+FROM ({allc}) c"""
+
+
+@register("rank_by_recall", lambda: O.with_ctes(["predictions"], _rank_by_recall_sql()))
+def q_rank_by_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """M8: the small trainer's ranking (recall, f1, ROC AUC at class 0.5) of
+    the same three scorers."""
+    s = scored(spark, sf)
+    cands = _candidates(s)
+    long = s.select(F.col("delay_risk_label").alias("label"), F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), e.alias("score")) for n, e in cands])).alias("c")).select("c.*", "label")
+    m = rounded(EV.class_metrics(long))
+    position = F.array_position(F.array(*[F.lit(n) for n, _e in cands]), F.col("name")).cast("long") - 1
+    return EV.rank_by_recall(m.withColumn("position", position))

@@ -75,10 +75,10 @@ def q_share_of_total(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("latest_orders", _q(["ops"], f"""
 SELECT * REPLACE ({sql_rounded(RAW_DOUBLES)}) FROM ops
-ORDER BY order_timestamp DESC, order_id LIMIT 100"""))
+ORDER BY order_timestamp DESC, order_id LIMIT 100 OFFSET 100"""))
 def q_latest_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """First page (100 rows) of the newest orders."""
-    return rounded(M.latest_orders(ops_orders(spark, sf), 100, 0))
+    """Second page (100 rows) of the newest orders."""
+    return rounded(M.latest_orders(ops_orders(spark, sf), 100, 100))
 
 
 @register("cap_rows", _q(["ops"], f"""
@@ -136,23 +136,31 @@ def q_align_schema(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("iso_timestamps", _q(["raw"], """
 SELECT order_id,
-  strftime(order_timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS order_timestamp_iso,
+  CASE WHEN delay_risk_label = 1 THEN strftime(order_timestamp + INTERVAL 123456 MICROSECONDS, '%Y-%m-%dT%H:%M:%S.%f')
+       ELSE strftime(order_timestamp, '%Y-%m-%dT%H:%M:%S') END || '+00:00' AS order_timestamp_iso,
   strftime(ingestion_timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ingestion_timestamp_iso
 FROM raw"""))
 def q_iso_timestamps(spark: SparkSession, sf: str) -> DataFrame:
-    """Timestamps as ISO-8601 text with offset, for a JSON sink."""
+    """Timestamps as ISO-8601 text with offset, for a JSON sink (the
+    times of delayed orders are given a fraction of a second first)."""
     r = raw_orders(spark, sf)
+    shifted = F.col("order_timestamp") + F.expr("INTERVAL '0.123456' SECOND")
+    r = r.withColumn("order_timestamp", F.when(F.col("delay_risk_label") == 1, shifted).otherwise(F.col("order_timestamp")))
     return r.select("order_id", X.iso_timestamp("order_timestamp").alias("order_timestamp_iso"),
                     X.iso_timestamp("ingestion_timestamp").alias("ingestion_timestamp_iso"))
 
 
-@register("coerce_types", _q(["raw"], "SELECT order_id, order_timestamp, delay_risk_label FROM raw"))
+@register("coerce_types", _q(["raw"], """
+SELECT order_id, CASE WHEN day(order_timestamp) <> 13 THEN order_timestamp END AS order_timestamp, delay_risk_label
+FROM raw"""))
 def q_coerce_types(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw table as text (timestamps as strings, labels as '1' /
-    'no') coerced back: bad label text → 0, timestamps parsed."""
+    """The raw table as text (timestamps as strings, those of a 13th
+    unreadable; labels as '1' / 'no') coerced back: bad label text → 0, bad
+    timestamps → NULL, others parsed."""
     r = raw_orders(spark, sf)
+    ts = F.col("order_timestamp")
     txt = r.select("order_id",
-                   F.date_format("order_timestamp", "yyyy-MM-dd HH:mm:ss").alias("order_timestamp"),
+                   F.when(F.dayofmonth(ts) == 13, "not a time").otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss")).alias("order_timestamp"),
                    F.when(F.col("delay_risk_label") == 1, "1").otherwise("no").alias("delay_risk_label"))
     return coerce_types(txt)
 

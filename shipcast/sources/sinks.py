@@ -1,9 +1,9 @@
-"""Idempotent sinks (S5–S7, S10–S12): keyed inserts, backfill, audit rows,
+"""Idempotent sinks (S5–S7, S10, S12): keyed inserts, backfill, audit rows,
 prediction append and small JSON reports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shipcast.operators.clean import dedupe_orders
@@ -18,10 +18,12 @@ def new_rows(incoming: DataFrame, target: DataFrame, key: str = "order_id") -> D
 
 
 def insert_new_orders(incoming: DataFrame, target: DataFrame, target_path: str, key: str = "order_id") -> int:
-    """Append the new rows to the target table; returns the row count."""
-    rows = new_rows(incoming, target, key)
+    """Append the new rows to the target table; returns the row count,
+    observed while they are written (the join runs once)."""
+    seen = Observation("inserted")
+    rows = new_rows(incoming, target, key).observe(seen, F.count(F.lit(1)).alias("rows"))
     rows.write.mode("append").parquet(target_path)
-    return target.sparkSession.read.parquet(target_path).join(rows.select(key), key, "left_semi").count()
+    return int(seen.get["rows"])
 
 
 def backfill_rows(source: DataFrame, warehouse: DataFrame, key: str = "order_id",
@@ -48,11 +50,6 @@ def ingestion_log_row(batch_id, rows_generated: DataFrame, rows_operational: int
     ).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
-def write_predictions(predictions: DataFrame, path: str) -> None:
-    """Append prediction rows (the run timestamp is already a column)."""
-    predictions.write.mode("append").parquet(path)
-
-
 def write_report(df: DataFrame, path: str) -> None:
     """Small result tables (metrics, hypotheses) as one JSON file.
     Only for aggregates whose size is bounded by the report, never data."""
