@@ -33,12 +33,7 @@ def score_curve(df: DataFrame, label: str = "label", score: str = "score",
     agg = df.groupBy(*group, score).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg"))
-    return _curve(agg, score, group)
-
-
-def _curve(counts: DataFrame, score: str, group: list[str]) -> DataFrame:
-    """The curve of one row per (group, score) with ``pos`` and ``neg``."""
-    cur = running_sum(counts, [F.col(score)], ["pos", "neg"], group=group, descending=True)
+    cur = running_sum(agg, [F.col(score)], ["pos", "neg"], group=group, descending=True)
     return cur.select(*group, F.col(score).alias("score"), "pos", "neg",
                       F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"))
 
@@ -54,7 +49,7 @@ def auc_ap(curve: DataFrame, group: list[str] | None = None) -> DataFrame:
     both = (F.col("P") > 0) & (F.col("N") > 0)
     return s.select(
         *group,
-        F.when(both, F.lit(1.0) - F.col("_a") / (F.col("P") * F.col("N"))).alias("roc_auc"),
+        F.when(both, F.lit(1.0) - F.col("_a") / (F.col("P").cast("double") * F.col("N"))).alias("roc_auc"),
         F.when(both, F.col("_p") / F.col("P")).alias("average_precision"))
 
 
@@ -96,31 +91,35 @@ def prediction_metrics(df: DataFrame, label: str = "label", pred: str = "predict
                   (F.col(band) if band else F.lit(None).cast("string")).alias("_b"))
     if not missing_label_as_zero:
         d = d.where(F.col("_y").isNotNull())
-    # One row per distinct score holds all the counts, so the rows are read
-    # and shuffled once for both the totals and the curve.
+    # One row per distinct score holds all the counts, and the totals are the
+    # last running sums of the curve: the rows are read and shuffled once.
     yy, pp, bb = F.col("_y"), F.col("_p"), F.col("_b")
     counts = {"evaluated_rows": F.lit(True), "positive_labels": yy == 1, "positive_predictions": pp == 1,
               "true_positives": (yy == 1) & (pp == 1), "false_positives": (yy == 0) & (pp == 1),
               "false_negatives": (yy == 1) & (pp == 0), "true_negatives": (yy == 0) & (pp == 0),
               "high_risk_orders": bb == "high", "medium_risk_orders": bb == "medium", "low_risk_orders": bb == "low"}
     cells = d.groupBy(*group, "_s").agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
+    curve = running_sum(cells, [F.col("_s")], list(counts), group=group, descending=True)
     rows = F.when(F.col("_s").isNotNull(), F.col("evaluated_rows"))
     exact = F.sum(F.col("_s").cast(f"decimal(18,{SCORE_SCALE})") * rows.cast("decimal(18,0)")).cast("double")
-    base = cells.groupBy(*group).agg(
-        *[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in counts],
-        F.when(F.sum(rows) > 0, exact / F.sum(rows)).alias("avg_delay_probability"))
+    pos, tp_at, all_at = F.col("positive_labels"), F.col("positive_labels_cum"), F.col("evaluated_rows_cum")
+    neg = F.col("evaluated_rows") - pos
+    base = curve.groupBy(*group).agg(
+        *[F.coalesce(F.max(f"{n}_cum"), F.lit(0)).cast("long").alias(n) for n in counts],
+        F.when(F.sum(rows) > 0, exact / F.sum(rows)).alias("avg_delay_probability"),
+        F.sum(pos * (all_at - tp_at - neg * F.lit(0.5))).alias("_a"), F.sum(pos * (tp_at / all_at)).alias("_p"))
     tp, fp, fn = F.col("true_positives"), F.col("false_positives"), F.col("false_negatives")
-    n = F.col("evaluated_rows")
-    base = base.select(
+    n, big_p = F.col("evaluated_rows"), F.col("positive_labels").cast("double")
+    big_n = n - big_p
+    both = (big_p > 0) & (big_n > 0)
+    out = base.select(
         "*",
         _ratio(tp + F.col("true_negatives"), n).alias("accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
-        _ratio(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn).alias("f1"))
-    scores = cells.select(*group, "_s", F.col("positive_labels").alias("pos"),
-                          (F.col("evaluated_rows") - F.col("positive_labels")).alias("neg"))
-    curve = auc_ap(_curve(scores, "_s", group), group=group)
-    out = base.join(curve, group, "left") if group else _one_row_join(base, curve)
+        _ratio(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn).alias("f1"),
+        F.when(both, F.lit(1.0) - F.col("_a") / (big_p * big_n)).alias("roc_auc"),
+        F.when(both, F.col("_p") / big_p).alias("average_precision"))
     return out.select(*group, *METRIC_COLUMNS)
 
 

@@ -110,12 +110,13 @@ def training_features(df: DataFrame, target: str = "delay_risk_label") -> DataFr
     return df
 
 
-def baseline_features(df: DataFrame, target: str = "delay_risk_label") -> DataFrame:
-    """P5: the 13-feature projection of the small trainer, plus the label."""
+def baseline_features(df: DataFrame, target: str = "delay_risk_label", keep: list[str] | None = None) -> DataFrame:
+    """P5: the 13-feature projection of the small trainer, plus the label
+    (``keep`` columns such as ids are carried in front)."""
     ts = F.col("order_timestamp")
     dow = F.coalesce(X.weekday_mon0(ts), F.lit(0)).cast("long")
     return df.select(
-        "state", "city", "product_category", "order_value", "order_weight_kg", "distance_km", "carrier",
+        *(keep or []), "state", "city", "product_category", "order_value", "order_weight_kg", "distance_km", "carrier",
         "dc_id", "promised_delivery_days", "estimated_delivery_days",
         dow.alias("day_of_week"),
         F.coalesce(F.hour(ts), F.lit(0)).cast("long").alias("order_hour"),

@@ -1,10 +1,12 @@
-"""Business hypothesis tests H1–H10 (A10, P16, F23) from one scan.
+"""Business hypothesis tests H1–H10 (A10, P16, F23) in one scan.
 
-One grouped aggregate by the feature of H10 holds every counter of every
-group (partial aggregation first). H1–H9 and the overall rate are its sums;
-H10 picks the group with the highest rate among those with at least
-max(100, 0.001·n) rows (ties: first in name order). An empty candidate set
-gives INCONCLUSIVE instead of an error.
+One aggregate with the grouping sets () and (feature of H10) holds every
+counter. H1–H9 and the overall rate come from its total row; H10 picks the
+group with the highest rate among those with at least max(100, 0.001·n) rows
+(ties: first in name order). At most 1,000 groups can hold a thousandth of
+the rows, so the total row and the 1,000 largest groups decide, whatever the
+number of groups. An empty candidate set gives INCONCLUSIVE instead of an
+error.
 """
 
 from __future__ import annotations
@@ -33,8 +35,18 @@ def hypothesis_tests(df: DataFrame, target: str = "delay_risk_label") -> DataFra
         m = _mask(feat, cond)
         counters |= {f"n_{hid}": F.count_if(m), f"s_{hid}": F.sum(F.when(m, y))}
     by = F.col(top).cast("string") if top in df.columns else F.lit(None).cast("string")
-    groups = df.groupBy(by.alias("_v")).agg(*[c.alias(n) for n, c in counters.items()])
-    one = groups.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) if n.startswith(("_n", "n_")) else F.sum(n).alias(n) for n in counters])
+    named = df.withColumn("_v", by)
+    sets = (named.groupingSets([[], [F.col("_v")]], F.col("_v"))
+            .agg(F.grouping_id("_v").alias("_total"), *[c.alias(n) for n, c in counters.items()]))
+    decisive = sets.orderBy(F.col("_total").desc(), F.col("_n").desc()).limit(1 + round(1 / K.H10_MIN_SHARE))
+    total = F.max_by(F.struct(*counters), F.col("_total"))
+    rate = F.when(F.col("_m") > 0, F.col("_s") / F.col("_m"))
+    group = F.when((F.col("_total") == 0) & rate.isNotNull(), F.struct(
+        (-rate).alias("o"), F.col("_v").isNull().alias("last"), F.col("_v").alias("v"), F.col("_n").alias("cnt"), rate.alias("rate")))
+    one = decisive.agg(total.alias("t"), F.collect_list(group).alias("groups")).select("t.*", "groups")
+    one = one.withColumns({n: F.coalesce(n, F.lit(0)) for n in counters if n.startswith(("_n", "n_"))})
+    enough = F.greatest(F.lit(float(K.H10_MIN_GROUP)), F.col("_n") * F.lit(K.H10_MIN_SHARE))
+    one = one.withColumn("_top", F.array_min(F.filter("groups", lambda g: g["cnt"] >= enough)))
 
     none = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("double")
     rows = []
@@ -47,14 +59,6 @@ def hypothesis_tests(df: DataFrame, target: str = "delay_risk_label") -> DataFra
         else:
             n = F.col(f"n_{hid}")
             rows.append((hid, stmt, feat, F.lit(cond), n, F.when(n > 0, F.col(f"s_{hid}") / n)))
-    if top in df.columns:
-        least = F.greatest(F.lit(float(K.H10_MIN_GROUP)), F.col("_all") * F.lit(K.H10_MIN_SHARE))
-        rate = F.when(F.col("_m") > 0, F.col("_s") / F.col("_m"))
-        sized = groups.join(F.broadcast(one.select(F.col("_n").alias("_all"))), F.col("_n") >= 0)  # one row on the right
-        best = sized.where((F.col("_n") >= least) & (F.col("_m") > 0)).agg(
-            F.min_by(F.struct(F.col("_v").alias("v"), F.col("_n").alias("cnt"), rate.alias("rate")),
-                     F.struct(-rate, F.col("_v").isNull(), F.col("_v"))).alias("_top"))
-        one = one.join(F.broadcast(best), F.col("_n") >= 0)  # one row on both sides
     base = one.select("_n", "_s", F.explode(F.array(*[
         F.struct(F.lit(hid).alias("id"), F.lit(stmt).alias("hypothesis"), F.lit(feat).alias("feature"),
                  c.alias("condition"), n.cast("long").alias("segment_count"), r.cast("double").alias("segment_rate"))

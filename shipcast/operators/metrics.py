@@ -41,23 +41,18 @@ def orders_by(orders: DataFrame, dim: str) -> DataFrame:
 
 
 def order_metrics_cube(orders: DataFrame) -> DataFrame:
-    """A5: A1–A4 in one scan with GROUPING SETS ((), (state), (carrier),
-    (traffic_condition)); ``grouping_set`` names the set of each row."""
-    orders.createOrReplaceTempView("_shipcast_orders_cube")
-    return orders.sparkSession.sql("""
-        SELECT CASE grouping_id(state, carrier, traffic_condition)
-                 WHEN 7 THEN 'all' WHEN 3 THEN 'state' WHEN 5 THEN 'carrier' ELSE 'traffic_condition' END
-                 AS grouping_set,
-               state, carrier, traffic_condition,
-               count(1) AS orders,
-               coalesce(CAST(sum(CAST(order_value AS DECIMAL(38,2))) AS DOUBLE), 0D) AS revenue,
-               coalesce(CAST(sum(CAST(order_value AS DECIMAL(38,2))) AS DOUBLE) / count(order_value), 0D)
-                 AS avg_order_value,
-               coalesce(CAST(sum(CAST(distance_km AS DECIMAL(38,2))) AS DOUBLE) / count(distance_km), 0D)
-                 AS avg_distance_km,
-               coalesce(avg(delay_risk_label), 0D) AS delay_risk_rate
-        FROM _shipcast_orders_cube
-        GROUP BY GROUPING SETS ((), (state), (carrier), (traffic_condition))""")
+    """A5: A1–A4 in one scan with grouping sets (), (state), (carrier) and
+    (traffic_condition); ``grouping_set`` names the set of each row."""
+    dims = ["state", "carrier", "traffic_condition"]
+    sets = orders.groupingSets([[], *[[F.col(d)] for d in dims]], *[F.col(d) for d in dims])
+    which = F.grouping_id(*dims)
+    kind = F.when(which == 7, "all").when(which == 3, "state").when(which == 5, "carrier").otherwise("traffic_condition")
+    return sets.agg(
+        kind.alias("grouping_set"), F.count(F.lit(1)).alias("orders"),
+        F.coalesce(exact_sum("order_value", MONEY), F.lit(0.0)).alias("revenue"),
+        F.coalesce(exact_avg("order_value", MONEY), F.lit(0.0)).alias("avg_order_value"),
+        F.coalesce(exact_avg("distance_km", MONEY), F.lit(0.0)).alias("avg_distance_km"),
+        F.coalesce(F.avg("delay_risk_label"), F.lit(0.0)).alias("delay_risk_rate"))
 
 
 def delay_rate_by(features: DataFrame, dims=DELAY_DIMENSIONS, label: str = "delay_risk_label",
@@ -108,8 +103,8 @@ def latest_orders(orders: DataFrame, limit: int = 100, offset: int = 0) -> DataF
     return out.offset(int(offset)).limit(limit) if offset else out.limit(limit)
 
 
-def cap_rows(orders: DataFrame, max_rows: int | None = 500_000) -> DataFrame:
-    """The oldest ``max_rows`` rows (order_id breaks ties), or all.
+def cap_rows(orders: DataFrame, max_rows: int | None = 500_000, key: str = "order_id") -> DataFrame:
+    """The oldest ``max_rows`` rows (``key`` breaks ties), or all.
 
     The cap falls into one minute, found from the counts of each hour and of
     that hour's minutes; rows before that minute are kept by a plain filter,
@@ -121,7 +116,7 @@ def cap_rows(orders: DataFrame, max_rows: int | None = 500_000) -> DataFrame:
     missing = orders.where(ts.isNull())
     left = max_rows - missing.count()
     if left <= 0:
-        return missing.orderBy("order_id").limit(max_rows)
+        return missing.orderBy(key).limit(max_rows)
     rows, start = orders.where(ts.isNotNull()), None
     for unit in ("year", "hour", "minute"):
         # One row for each year, then for each hour of a year, then for each minute of an hour.
@@ -137,7 +132,7 @@ def cap_rows(orders: DataFrame, max_rows: int | None = 500_000) -> DataFrame:
             return orders
     edge = F.date_trunc("minute", ts)
     kept = missing.unionByName(rows.where(edge < F.lit(start)))
-    return kept.unionByName(rows.where(edge == F.lit(start)).orderBy(ts, "order_id").limit(left)) if left else kept
+    return kept.unionByName(rows.where(edge == F.lit(start)).orderBy(ts, key).limit(left)) if left else kept
 
 
 def top_risk_orders(scored: DataFrame, score: str, limit: int = 100) -> DataFrame:

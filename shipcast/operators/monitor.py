@@ -7,7 +7,9 @@ repeatable.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipcast import constants as K
@@ -53,11 +55,17 @@ def replayed_predictions(orders: DataFrame, as_of: str) -> DataFrame:
             .where(F.col("prediction_timestamp") < F.lit(as_of).cast("timestamp_ntz")))
 
 
+def lookback_start(as_of: str, days: int = K.SCORING_LOOKBACK_DAYS) -> str:
+    """The time ``days`` days before ``as_of``."""
+    return str(datetime.fromisoformat(as_of) - timedelta(days=days))
+
+
 def unscored_orders(features: DataFrame, predictions: DataFrame, as_of: str,
                     lookback_days: int = K.SCORING_LOOKBACK_DAYS, limit: int | None = None,
                     one_per_order: bool = False) -> DataFrame:
-    """Feature rows without a prediction, inside the lookback,
-    newest first (order_id breaks ties). ``limit`` is optional.
+    """Feature rows without a prediction, inside the lookback;
+    with a ``limit`` the newest (order_id breaks ties), without one all, in
+    no order.
     ``one_per_order`` keeps the first row per order id (after the lookback
     filter and anti join, so only candidates are shuffled); the warehouse
     feature table itself may repeat ids."""
@@ -69,8 +77,7 @@ def unscored_orders(features: DataFrame, predictions: DataFrame, as_of: str,
     if one_per_order:
         from shipcast.operators.clean import dedupe_orders
         out = dedupe_orders(out)
-    out = out.orderBy(F.col("order_timestamp").desc(), F.col("order_id"))
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.orderBy(F.col("order_timestamp").desc(), F.col("order_id")).limit(limit)
 
 
 def on_day(ts: Column, as_of: str) -> Column:

@@ -46,8 +46,10 @@ def ops_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer(spark, sf_dir, "ops", lambda: dedupe_orders(raw_orders(spark, sf_dir)))
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layer(spark, sf_dir, "predictions", lambda: replayed_predictions(ops_orders(spark, sf_dir), AS_OF))
+def predictions(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+    """Stored predictions, by month; ``since``: of runs from that time on."""
+    return layer(spark, sf_dir, "predictions", lambda: replayed_predictions(ops_orders(spark, sf_dir), AS_OF),
+                 month_of="prediction_timestamp", since=since)
 
 
 def performance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,8 +24,10 @@ def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer(spark, sf_dir, "silver", lambda: clean_orders(raw_orders(spark, sf_dir)))
 
 
-def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layer(spark, sf_dir, "gold", lambda: gold_features(silver_orders(spark, sf_dir)))
+def gold_table(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+    """Gold features, stored by month; ``since``: orders from that time on."""
+    return layer(spark, sf_dir, "gold", lambda: gold_features(silver_orders(spark, sf_dir)),
+                 month_of="order_timestamp", since=since)
 
 
 def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,8 +117,11 @@ SELECT * REPLACE ({sql_rounded(GOLD_DOUBLES)}) FROM gold g
 WHERE g.order_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL {K.SCORING_LOOKBACK_DAYS} DAY
   AND NOT EXISTS (SELECT 1 FROM predictions p WHERE p.order_id = g.order_id)"""))
 def q_unscored_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold rows in the 7-day lookback that have no prediction."""
-    return rounded(MO.unscored_orders(gold_table(spark, sf), predictions(spark, sf), AS_OF))
+    """Gold rows in the 7-day lookback that have no prediction.
+    Neither table is read before the lookback: an order is scored after it
+    was placed."""
+    start = MO.lookback_start(AS_OF)
+    return rounded(MO.unscored_orders(gold_table(spark, sf, start), predictions(spark, sf, start), AS_OF))
 
 
 @register("scored_today", _q(["gold", "predictions"], f"""
@@ -127,7 +130,7 @@ SELECT CAST(TIMESTAMP '{AS_OF}' AS DATE) AS as_of_date,
     AS scored_today,
   (SELECT count(*) FROM gold) AS source_rows"""))
 def q_scored_today(spark: SparkSession, sf: str) -> DataFrame:
-    return MO.scored_today(predictions(spark, sf), gold_table(spark, sf), AS_OF)
+    return MO.scored_today(predictions(spark, sf, MO.lookback_start(AS_OF, 1)), gold_table(spark, sf), AS_OF)
 
 
 # A daily limit that the as-of day has partly used up on the test tables (the operator's default is 300).
@@ -140,7 +143,7 @@ SELECT scored_today, CAST(greatest(0, least({K.BATCH_SIZE}, {DAILY_LIMIT} - scor
 FROM (SELECT count(*) FILTER (WHERE CAST(prediction_timestamp AS DATE) = CAST(TIMESTAMP '{AS_OF}' AS DATE))
       AS scored_today FROM predictions) t"""))
 def q_remaining_quota(spark: SparkSession, sf: str) -> DataFrame:
-    today = predictions(spark, sf).where(MO.on_day(F.col("prediction_timestamp"), AS_OF))
+    today = predictions(spark, sf, MO.lookback_start(AS_OF, 1)).where(MO.on_day(F.col("prediction_timestamp"), AS_OF))
     return MO.remaining_quota(today.agg(F.count(F.lit(1)).alias("scored_today")), daily_limit=DAILY_LIMIT)
 
 

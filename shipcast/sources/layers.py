@@ -1,36 +1,40 @@
 """Medallion layers (S3, S4): raw → silver → gold, plus write helpers.
 
 ``refresh_layer`` writes a layer as Parquet, each task's output sorted by
-order time and then by the reference's cluster keys, so Parquet row-group
-min/max statistics let date and state/carrier predicates skip row groups.
-This is a local sort: no extra exchange, and no sampling pass that would
-recompute the upstream joins (a range repartition needs both). Directory
-partitioning by date (``partition_by_date=True``) is offered for stores
-where one day holds many files' worth of data; on small inputs it would
-only produce many tiny files.
+order time and then by the reference's cluster keys (a local sort: no extra
+exchange, no sampling pass). A layer that is read by time is written in
+folders of a month (``month_of``): rows of a month are brought together by a
+rebalance, which splits a month that is large, and a reader that asks for
+rows from a time on (``since``) lists and reads only the folders it needs.
+``partition_by_date=True`` gives folders of a day for stores where one day
+holds many files' worth of data; on small inputs it would only produce many
+tiny files.
 
 ``layer`` is the read side: when the session names a shared folder in
 ``spark.checkpoint.dir`` the layer is materialized there once, under a key
 built from the input files and this package's source, and read back;
-otherwise it is returned as the lazy plan. A layer is only ever read after
-the writer's ``_SUCCESS`` marker exists, so a killed writer never exposes a
-partial table; the next caller simply rebuilds it.
+otherwise it is returned as the lazy plan. A writer fills a folder of its own
+and then publishes it through a small pointer file; nothing that a reader may
+hold is renamed or deleted, and a killed writer leaves no pointer. Folders of
+older inputs or code are deleted by ``drop_old_layers`` only.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipcast.session import checkpoint_dir
 
 CLUSTER_KEYS = ["state", "carrier", "product_category", "delay_risk_label"]
 _PKG_DIR = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+LAYERS = "shipcast-layers"
 _MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -73,14 +77,12 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def committed(spark: SparkSession, path: str) -> bool:
-    p, fs = hadoop_path(spark, path.rstrip("/") + "/_SUCCESS")
-    return bool(fs.exists(p))
+MONTH = "_month"
 
 
 def refresh_layer(df: DataFrame, path: str, partition_by_date: bool = False,
                   date_col: str = "order_date", time_col: str = "order_timestamp",
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", month_of: str | None = None) -> None:
     """Full refresh of a layer.
 
     ``overwrite`` deletes the old files before the job writes; readers that
@@ -91,34 +93,85 @@ def refresh_layer(df: DataFrame, path: str, partition_by_date: bool = False,
         # A rebalance keeps a date together but splits one that is large.
         out = df.hint("rebalance", date_col).sortWithinPartitions(date_col, *cluster)
         out.write.mode(mode).partitionBy(date_col).parquet(path)
+    elif month_of:
+        out = df.withColumn(MONTH, _month(F.col(month_of)))
+        out = out.hint("rebalance", MONTH).sortWithinPartitions(MONTH, month_of, *cluster)
+        out.write.mode(mode).partitionBy(MONTH).parquet(path)
     elif time_col in df.columns:
         df.sortWithinPartitions(time_col, *cluster).write.mode(mode).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 
 
-def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _month(ts: Column) -> Column:
+    """Months since year 0 (NULL times have a folder of their own)."""
+    return (F.year(ts) * 12 + F.month(ts) - 1).cast("int")
+
+
+def _published(spark: SparkSession, pointer: str) -> str | None:
+    path, fs = hadoop_path(spark, pointer)
+    if not fs.exists(path):
+        return None
+    read = fs.open(path)
+    try:
+        return read.readUTF()
+    finally:
+        read.close()
+
+
+def _publish(spark: SparkSession, folder: str, pointer: str) -> None:
+    """Make the pointer name ``folder``. The pointer is written aside and
+    renamed; of two writers either wins, both folders are whole."""
+    aside, fs = hadoop_path(spark, f"{pointer}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(aside, False)
+    out.writeUTF(folder)
+    out.close()
+    if not fs.rename(aside, hadoop_path(spark, pointer)[0]):
+        fs.delete(aside, False)  # the pointer is there already
+        if _published(spark, pointer) is None:
+            raise OSError(f"cannot publish {pointer}")
+
+
+def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+          month_of: str | None = None, since: str | None = None) -> DataFrame:
+    """The layer ``name``. With ``month_of`` (a time column) it is stored in
+    folders of a month; ``since`` then gives the rows from that time on."""
+    wanted = F.col(month_of) >= F.lit(since).cast("timestamp_ntz") if since else None
     # memo per running application and input state: frames of a stopped session or of older input are never reused
     mark = _fingerprint(spark, sf_dir)
     key = (spark.sparkContext.applicationId, mark, name)
-    if key in _MEMO:
-        return _MEMO[key]
+    if key not in _MEMO:
+        base = checkpoint_dir(spark)
+        if not base:
+            return build() if since is None else build().where(wanted)
+        pointer = f"{base.rstrip('/')}/{LAYERS}/{mark}/{name}.current"
+        folder = _published(spark, pointer)
+        if folder is None:
+            folder = f"{base.rstrip('/')}/{LAYERS}/{mark}/{name}-{uuid.uuid4().hex[:8]}"
+            refresh_layer(build(), folder, month_of=month_of)
+            _publish(spark, folder, pointer)
+            folder = _published(spark, pointer)
+        _MEMO[key] = spark.read.parquet(folder)
+    df = _MEMO[key]
+    if since is not None:
+        df = df.where((F.col(MONTH) >= _month(F.lit(since).cast("timestamp_ntz"))) & wanted)
+    return df.drop(MONTH)
+
+
+def drop_old_layers(spark: SparkSession, sf_dir: str, older_than_hours: float) -> int:
+    """Delete the layers of other inputs or code states that were not written
+    for ``older_than_hours``; the number of states deleted. For a clean-up
+    job: a running query of an older state would lose its files."""
     base = checkpoint_dir(spark)
-    if not base:
-        return build()
-    path = f"{base.rstrip('/')}/shipcast-layers/{mark}/{name}"
-    if not committed(spark, path):
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-        refresh_layer(build(), tmp)
-        src, fs = hadoop_path(spark, tmp)
-        dst, _ = hadoop_path(spark, path)
-        if not committed(spark, path):
-            if fs.exists(dst):
-                fs.delete(dst, True)
-            fs.rename(src, dst)
-    df = spark.read.parquet(path)
-    _MEMO[key] = df
-    return df
+    root, fs = hadoop_path(spark, f"{base.rstrip('/')}/{LAYERS}")
+    if not fs.exists(root):
+        return 0
+    mark, gone = _fingerprint(spark, sf_dir), 0
+    edge = (time.time() - older_than_hours * 3600) * 1000
+    for state in fs.listStatus(root):
+        if state.getPath().getName() != mark and state.getModificationTime() < edge:
+            gone += bool(fs.delete(state.getPath(), True))
+    return gone
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shipcast.operators.clean import dedupe_orders
+from shipcast.operators.metrics import cap_rows
 from shipcast.sources.layers import align_schema, append_rows  # noqa: F401  (re-exported sinks)
 
 
@@ -28,12 +29,11 @@ def insert_new_orders(incoming: DataFrame, target: DataFrame, target_path: str,
 
 def backfill_rows(source: DataFrame, warehouse: DataFrame, key: str = "order_id",
                   max_rows: int | None = None) -> DataFrame:
-    """Source rows missing from the warehouse, oldest first (order id
-    breaks ties), optionally capped. One read → anti join → append job
-    instead of LIMIT/OFFSET paging, so no row is skipped when a page fails."""
-    out = (source.join(warehouse.select(key), key, "left_anti")
-                 .orderBy(F.col("order_timestamp"), F.col(key)))
-    return out.limit(max_rows) if max_rows else out
+    """Source rows missing from the warehouse, optionally the oldest
+    ``max_rows`` of them (order id breaks ties, see ``cap_rows``). One read →
+    anti join → append job instead of LIMIT/OFFSET paging, so no row is
+    skipped when a page fails; rows are appended, so they are not sorted."""
+    return cap_rows(source.join(warehouse.select(key), key, "left_anti"), max_rows, key)
 
 
 def ingestion_log_row(batch_id, rows_generated: DataFrame, rows_operational: int, rows_warehouse: int,
