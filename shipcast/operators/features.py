@@ -175,28 +175,37 @@ def ml_ready_decisions(df: DataFrame, target: str = "delay_risk_label",
     column_name, position, non_null, reason (leakage_or_id /
     high_cardinality / all_null / constant; NULL = kept).
 
-    One aggregate over the table gives per column the non-NULL count, min ==
-    max (exact "at most one distinct value") and, for categoricals, an HLL
-    distinct estimate; it has no key, so nothing is sorted or shuffled but
-    one row of each task. Only categoricals whose estimate lies within a
-    factor of two of the cardinality cap (25 standard errors of the estimate)
-    get an exact ``count(DISTINCT)`` in a narrow scan. The stats are one row,
-    so building the table on the driver is bounded by the schema, not the
-    data.
+    One aggregate over the table gives per column the non-NULL count, for
+    categoricals an HLL distinct estimate and for the others min == max (at
+    most one distinct value); it has no key, so nothing is sorted or shuffled
+    but one row of each task. Only categoricals whose estimate lies within a
+    factor of two of the cardinality cap (10 standard errors of the estimate)
+    get an exact distinct count, and only those that may hold one value alone
+    an exact min == max, both in narrow scans. The stats are one row, so
+    building the table on the driver is bounded by the schema, not the data.
     """
     fields = list(df.schema.fields)
     aggs = []
     for f in fields:
         c = F.col(f"`{f.name}`")
-        aggs += [F.count(c).alias(f"nn__{f.name}"), (F.min(c) == F.max(c)).alias(f"one__{f.name}")]
+        aggs.append(F.count(c).alias(f"nn__{f.name}"))
+        if f.name in K.ML_DROP_COLUMNS:
+            continue  # decided by its name
         if _is_categorical(f.dataType):
-            aggs.append(F.approx_count_distinct(c, 0.02).alias(f"hll__{f.name}"))
+            # The buffer of an estimate grows with 1 / error²: 52 words at 0.05, 410 at 0.02.
+            aggs.append(F.approx_count_distinct(c, 0.05).alias(f"hll__{f.name}"))
+        else:
+            aggs.append((F.min(c) == F.max(c)).alias(f"one__{f.name}"))
     stats = df.agg(*aggs).first().asDict()
-    lo, hi = max_cat_cardinality // 2, max_cat_cardinality * 2
-    near = [f.name for f in fields if _is_categorical(f.dataType)
-            and lo <= stats[f"hll__{f.name}"] <= hi]
-    exact = (df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in near]).first().asDict()
-             if near else {})
+    cats = [f.name for f in fields if f"hll__{f.name}" in stats]
+    alone = [c for c in cats if stats[f"hll__{c}"] <= 2]
+    if alone:
+        stats |= df.agg(*[(F.min(F.col(f"`{c}`")) == F.max(F.col(f"`{c}`"))).alias(f"one__{c}") for c in alone]).first().asDict()
+    near = [c for c in cats if max_cat_cardinality // 2 <= stats[f"hll__{c}"] <= max_cat_cardinality * 2]
+    exact = {}
+    if near:
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in near])).alias("p")).select("p.*")
+        exact = {r["c"]: r["n"] for r in pairs.distinct().groupBy("c").agg(F.count("v").alias("n")).collect()}
     rows = []
     for i, f in enumerate(fields):
         nn = int(stats[f"nn__{f.name}"])
