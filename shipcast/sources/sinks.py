@@ -3,12 +3,12 @@ prediction append and small JSON reports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.operators.clean import dedupe_orders
 from shipcast.operators.metrics import cap_rows
-from shipcast.sources.layers import align_schema, append_rows  # noqa: F401  (re-exported sinks)
+from shipcast.sources.layers import align_schema, append_rows, has_files  # noqa: F401  (re-exported sinks)
 
 
 def new_rows(incoming: DataFrame, target: DataFrame, key: str = "order_id") -> DataFrame:
@@ -19,12 +19,16 @@ def new_rows(incoming: DataFrame, target: DataFrame, key: str = "order_id") -> D
 
 
 def insert_new_orders(incoming: DataFrame, target: DataFrame, target_path: str, key: str = "order_id") -> int:
-    """Append the new rows to the target table; returns the row count,
-    observed while they are written (the join runs once)."""
-    seen = Observation("inserted")
-    rows = new_rows(incoming, target, key).observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("append").parquet(target_path)
-    return int(seen.get["rows"])
+    """Append the new rows to the target table; returns by how many rows
+    it grew (two counts from the file footers; the join runs once)."""
+    spark = target.sparkSession
+
+    def stored() -> int:
+        return spark.read.parquet(target_path).count() if has_files(spark, target_path) else 0
+
+    before = stored()
+    new_rows(incoming, target, key).write.mode("append").parquet(target_path)
+    return stored() - before
 
 
 def backfill_rows(source: DataFrame, warehouse: DataFrame, key: str = "order_id",
