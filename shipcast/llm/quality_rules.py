@@ -23,7 +23,9 @@ from shipcast.llm.common import SPACE
 #: Words of a repeat that counts (a power of two).
 MIN_WORDS = 8
 #: Limits of the verdict: share of words inside repeats, and words of the longest.
-MAX_COVERED, MAX_LONGEST = 0.5, 100
+#: A word of such a repeat also counts for the base rule, so only a share below
+#: MAX_REPEAT_PERCENT can decide: half of it here, and a paragraph of 50 words.
+MAX_COVERED, MAX_LONGEST = 0.25, 50
 WINDOW = 3
 #: Fixed values of the contract's base rules.
 SYMBOLS = b"#*$%&|<>"

@@ -173,6 +173,20 @@ def test_quality_rules(spark, docs_rows, odd_rows, odd_docs, no_docs):
     assert quality_rules.judged(odd_docs).count() == len(odd_rows)
 
 
+def test_each_repeat_limit_decides_alone(spark):
+    own = [f"w{k}" for k in range(600)]
+    short = [w for k in range(0, 120, 12) for w in own[k:k + 12]]
+    texts = [own,  # nothing repeated
+             own[:360] + [w for k in range(0, 120, 12) for w in (f"x{k}", *short[k:k + 12])],  # ten passages of 12 words twice
+             own[:500] + own[:60],  # one passage of 60 words twice
+             own[:500] + own[:40]]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in quality_rules.judged(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [(got[k]["n_covered"], got[k]["longest_repeat"]) for k in range(4)] == [(0, 0), (240, 12), (120, 60), (80, 40)]
+    assert [got[k]["kept"] for k in range(4)] == [True, False, False, True]
+
+
 @pytest.mark.parametrize("shards", [16, 7])
 def test_shards_match_the_mixture(spark, shards, odd_docs, no_docs):
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 50).cast("string")).alias("text"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("s"), (F.col("id") % 11).cast("string"))).alias("source"))
