@@ -29,6 +29,9 @@ from shipcast.llm.boosting import Boosted
 # HTML element names by their role, and words of class, id and role attributes.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 SILENT = {"script", "style", "template", "noscript", "head", "title", "svg", "math", "iframe", "object", "canvas", "audio", "video", "select", "textarea", "datalist", "button"}
+#: Elements that may stand in a head (any other tag, or text, ends it), and silent ones whose content is text, so that no tag in it counts.
+HEAD_PARTS = {"html", "head", "base", "link", "meta", "title", "noscript", "script", "style", "template"}
+RAW = {"script", "style", "title", "textarea"}
 BLOCK = {"html", "body", "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup",
          "hr", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}}
@@ -56,13 +59,15 @@ _sentence = re.compile(r"[.!?…。！？](?:\s|$)")
 class Tree(HTMLParser):
     """Nodes of a page in document order: block elements and text blocks
     (tag ``#text``); parents come before children. Unclosed and stray tags
-    are mended as browsers do in the common cases."""
+    are mended as browsers do in the common cases. A silent element without
+    an end tag ends with the block around it."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.words, self.text, self.linked = [-1], ["#root"], [set()], [""], [0]
         self.open: list[tuple[str, int]] = []
         self.here = 0
+        # Open silent elements, with the blocks inside them.
         self.silent: list[str] = []
         self.hidden = 0
         self.piece: list[str] = []
@@ -90,16 +95,15 @@ class Tree(HTMLParser):
         del self.open[upto:]
         self.here = self.open[-1][1] if self.open else 0
 
-    def handle_starttag(self, tag, attrs):
+    def handle_starttag(self, tag, attrs, closed=False):
+        if self.silent == ["head"] and tag not in HEAD_PARTS or self.silent[:1] == ["head"] and tag == "body":
+            self.silent = []
         if self.silent:
-            if tag in SILENT and tag not in VOID:
+            if not closed and (tag in SILENT or tag in BLOCK) and tag not in VOID and self.silent[-1] not in RAW:
                 self.silent.append(tag)
-            elif tag == "body" and self.silent[0] == "head":
-                self.silent = []
-            else:
-                return
+            return
         if tag in SILENT:
-            if not self.silent:
+            if not closed:
                 self.silent.append(tag)
             self.piece.append(" ")
             return
@@ -129,13 +133,17 @@ class Tree(HTMLParser):
         self.open.append((tag, self.here))
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+        self.handle_starttag(tag, attrs, closed=True)
 
     def handle_endtag(self, tag):
         if self.silent:
-            if tag in self.silent:
+            raw = self.silent[-1] in RAW
+            if tag in self.silent and (tag in SILENT or not raw):
                 del self.silent[len(self.silent) - 1 - self.silent[::-1].index(tag):]
-            return
+                return
+            if raw or all(tag != name for name, _ in self.open):
+                return
+            self.silent = []
         if tag == "a":
             self.in_link = max(0, self.in_link - 1)
         if tag in BLOCK:
@@ -146,6 +154,8 @@ class Tree(HTMLParser):
             self._flush()
 
     def handle_data(self, data):
+        if self.silent == ["head"] and data.strip():
+            self.silent = []
         if not self.silent:
             self.piece.append(data)
             if self.in_link:

@@ -171,6 +171,22 @@ def test_pages(spark):
     assert html_extract.extracted(pages.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<head><title>T</title><article><p>One.</p></article>", ["One."]),
+    ("<head><meta charset=x>One.<p>Two.", ["One.", "Two."]),
+    ("<html><head><noscript><img src=x><p>off</p></noscript><title>T</title><body><p>One.", ["One."]),
+    *[(f"<body><p>One.</p><{x}/><p>Two.</p><{x}>gone</{x}><p>Three.</p></body>", ["One.", "Two.", "Three."]) for x in ("svg", "math", "iframe", "script")],
+    ("<head><script src=x /><title>T</title></head><body><p>One.</p></body>", ["One."]),
+    *[(f"<body><div><p>One.</p><{x}>gone</div><p>Two.</p></body>", ["One.", "Two."]) for x in ("button", "select", "noscript", "object", "video")],
+    # The end tag of a block inside a silent element is not that of the block around it.
+    ("<div><p>One.</p><button><div>gone</div>gone too</button><p>Two.</p></div>", ["One.", "Two."]),
+    ("<div><textarea></div>gone</textarea><p>One.</p></div>", ["One."]),
+    ("<div><script>'</div>'</script><p>One.</p></div>", ["One."]),
+])
+def test_silent_elements_without_end_tags(page, texts):
+    assert [t for t in html_extract.Tree(page).text if t] == texts
+
+
 def test_url_rules_and_hosts(spark):
     urls = ["http://Example.ORG/es/1", "https://a.example.org/en/12", "https://a.example.org/en/2", "x://notexample.org/es/", "http://b.com/fr/x?y", "http://b.com/de/", "http://b.com/de", "http://com/fr/", "http://b.com?u=http://c.org/", "no url", "", None, "http://h.net#//x.org/", "http://org", "://z.org/a"]
     pages = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")
