@@ -44,6 +44,8 @@ SIDE_WORDS = {"ad", "ads", "advert", "advertisement", "advertising", "banner", "
               "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "teaser", "toolbar", "topbar", "tracking", "widget", "widgets"}
 MAIN_WORDS = {"article", "articlebody", "body", "content", "entry", "main", "maincontent", "post", "story", "text"}
 
+#: Pages that may say where their article is.
+NAMES_ARTICLE = r"(?i)<(?:article|main)[\s/>]"
 #: Bound on the pages that training reads: those with the least hash.
 SAMPLE_PAGES = 600
 #: Nodes of a training page that count; a longer page is thinned evenly.
@@ -177,7 +179,7 @@ def features(tree: Tree) -> np.ndarray:
     ends = np.array([len(_sentence.findall(t)) for t in tree.text], dtype=np.float64)
     wordy = np.array([t.count(" ") + 1 if t else 0 for t in tree.text], dtype=np.float64)
     nodes, blocks = np.ones(n), leaf.astype(np.float64)
-    upper = np.array([sum(map(str.isupper, t[:400])) / max(1, min(400, len(t))) for t in tree.text])
+    upper = np.array([sum(map(str.isupper, t)) / max(1, len(t)) for t in tree.text])
     before = np.cumsum(chars) - chars
     for k in range(n - 1, 0, -1):
         p = parent[k]
@@ -335,10 +337,10 @@ def _plain_score(x: np.ndarray) -> np.ndarray:
 
 
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Boosted | None:
-    """The node model, trained on at most about ``sample_pages`` pages (by a
-    range of a hash) of which each gives ``SAMPLE_NODES`` nodes at most. None
-    if no page says where its article is."""
-    hashed = pages.where("html is not null").select("html", F.xxhash64("html", "url").alias("h"))
+    """The node model, trained on at most about ``sample_pages`` of the pages
+    with an article or main tag (by a range of a hash), of which each gives
+    ``SAMPLE_NODES`` nodes at most. None if no page says where its article is."""
+    hashed = pages.where(F.col("html").rlike(NAMES_ARTICLE)).select("html", F.xxhash64("html", "url").alias("h"))
     count = hashed.count()
     kept = hashed.where((F.col("h") / F.lit(2.0 ** 64) + 0.5) < F.lit(sample_pages / max(count, sample_pages)))
 

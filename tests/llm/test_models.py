@@ -187,6 +187,19 @@ def test_silent_elements_without_end_tags(page, texts):
     assert [t for t in html_extract.Tree(page).text if t] == texts
 
 
+def test_training_finds_the_few_pages_that_name_their_article(spark):
+    named = "<nav><a href=x>Home</a></nav><ARTICLE class=x><p>This is a long sentence number {}. It says much.</p><p>More of it.</p></ARTICLE><footer>copyright</footer>"
+    few = spark.range(4000).select(F.lit("u").alias("url"), F.concat(F.lit("<div><p>Page "), "id", F.lit("</p></div>")).alias("html"))
+    pages = few.unionByName(spark.createDataFrame([("u", named.format(k)) for k in range(6)], "url string, html string"))
+    assert html_extract.fit(pages, sample_pages=20) is not None
+    assert html_extract.fit(few, sample_pages=20) is None
+
+
+def test_upper_case_share_of_a_whole_block():
+    x = html_extract.features(html_extract.Tree("<p>" + "a" * 400 + "B" * 400 + "</p>"))
+    assert x[-1, 30] == 0.5
+
+
 def test_url_rules_and_hosts(spark):
     urls = ["http://Example.ORG/es/1", "https://a.example.org/en/12", "https://a.example.org/en/2", "x://notexample.org/es/", "http://b.com/fr/x?y", "http://b.com/de/", "http://b.com/de", "http://com/fr/", "http://b.com?u=http://c.org/", "no url", "", None, "http://h.net#//x.org/", "http://org", "://z.org/a"]
     pages = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")
