@@ -6,7 +6,9 @@ line key of each document), ``counts`` (key, number of references, first and
 last document) and ``filters`` (one cuckoo filter for each shard of the
 keys). Inserting documents asks the filters which keys may be known; keys
 that a filter does not hold are surely new and are appended without a look at
-``counts``, the others are merged with it exactly. Deleting documents takes
+``counts``, the others are merged with it exactly. Every key without a row in
+``counts`` then gets a print of its own, also one that the filter only seemed
+to hold: else deleting one of two such keys would hide the other. Deleting documents takes
 their references back; keys with none left leave both counts and filter, so a
 line that was dropped as a copy comes back when its keeper goes.
 """
@@ -123,34 +125,41 @@ def shard_of(key: Column, shards: int) -> Column:
 
 
 FILTER = "shard int, buckets long, slots binary, n long"
-ROUTED = "shard int, buckets long, slots binary, n long, key binary, known boolean"
+ASKED = "key binary, known boolean"
 
 
-def _routed(delta: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
-    """Ask and bring up to date the filter of each shard.
+def _asked(keys: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+    """(key, known): whether the filter of its shard holds each key."""
+    def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        known = np.zeros(len(left), dtype=bool)
+        if len(left) and len(right):
+            known = Cuckoo(int(right["buckets"].iloc[0]), right["slots"].iloc[0]).holds(_hashes(left["key"]))
+        return pd.DataFrame({"key": left["key"], "known": known})
+
+    dealt = keys.select("key", shard_of(F.col("key"), shards).alias("shard"))
+    return dealt.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(one, ASKED)
+
+
+def _updated(delta: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+    """The filters brought up to date; buckets -1: too full, to be rebuilt.
 
-    ``delta``: key, gone (it has no reference left). Gives the new filters
-    (key null) and, for each other key, whether its filter held it."""
+    ``delta``: key, gone. A key that is gone had a print, which is taken out;
+    any other has no row in the counts yet and gets one, held or not."""
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         shard = int((left if len(left) else right)["shard"].iloc[0])
         h, gone = _hashes(left["key"]), left["gone"].to_numpy(dtype=bool)
+        n = len(h) - 2 * int(gone.sum())
         if len(right):
-            f, n = Cuckoo(int(right["buckets"].iloc[0]), right["slots"].iloc[0]), int(right["n"].iloc[0])
-        else:
-            f, n = None, 0
-        known = f.holds(h) if f else np.zeros(len(h), dtype=bool)
-        new = ~known & ~gone
-        if f is None:
-            f = built(h[new])
-        else:
+            f, n = Cuckoo(int(right["buckets"].iloc[0]), right["slots"].iloc[0]), n + int(right["n"].iloc[0])
             f.delete(h[gone])
-            if not f.insert(h[new]):
+            if not f.insert(h[~gone]):
                 f = None
-        top = pd.DataFrame({"shard": [shard], "buckets": [f.buckets if f else -1], "slots": [f.table.tobytes() if f else None], "n": [n + int(new.sum()) - int(gone.sum())], "key": [None], "known": [None]})
-        return pd.concat([top, pd.DataFrame({"shard": shard, "buckets": None, "slots": None, "n": None, "key": left["key"], "known": known})[~gone]]).astype({"buckets": "Int64", "n": "Int64", "known": "boolean"})
+        else:
+            f = built(h[~gone])
+        return pd.DataFrame({"shard": [shard], "buckets": [f.buckets if f else -1], "slots": [f.table.tobytes() if f else None], "n": [n]})
 
     dealt = delta.withColumn("shard", shard_of(F.col("key"), shards))
-    return dealt.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(one, ROUTED)
+    return dealt.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(one, FILTER)
 
 
 def _rebuilt(keys: DataFrame, shards: int) -> DataFrame:
@@ -186,9 +195,10 @@ class LineIndex:
         if not rows:
             return self
         shards = self.shards or -(-delta.count() // SHARD_KEYS)
-        routed = saved(_routed(delta.select("key", F.lit(False).alias("gone")), self.filters, shards), "routed")
-        known = routed.where("known").select("key")
+        new = delta.select("key")
         if self.rows:
+            known = saved(_asked(new, self.filters, shards).where("known").select("key"), "known")
+            new = new.join(known.join(self.counts, "key", "left_semi"), "key", "left_anti")
             fresh, again = delta.join(known, "key", "left_anti"), delta.join(known, "key", "left_semi")
             old = self.counts.join(known, "key", "left_anti")
             merged = (self.counts.join(known, "key", "left_semi").unionByName(again).groupBy("key")
@@ -196,7 +206,8 @@ class LineIndex:
             counts = saved(old.unionByName(merged).unionByName(fresh), "counts")
         else:
             counts = delta
-        return LineIndex(self.refs.unionByName(refs) if self.rows else refs, counts, self._filters(routed, counts, shards), shards, self.rows + rows)
+        updated = saved(_updated(new.withColumn("gone", F.lit(False)), self.filters, shards), "updated")
+        return LineIndex(self.refs.unionByName(refs) if self.rows else refs, counts, self._filters(updated, counts, shards), shards, self.rows + rows)
 
     def delete(self, ids: DataFrame) -> LineIndex:
         """The index without the documents of ``ids`` (a column doc_id)."""
@@ -206,12 +217,11 @@ class LineIndex:
         recounted = refs.join(keys, "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"), F.min("did").alias("first"), F.max("did").alias("last"))
         counts = saved(self.counts.join(keys, "key", "left_anti").unionByName(recounted), "counts")
         lost = keys.join(counts, "key", "left_anti").withColumn("gone", F.lit(True))
-        routed = saved(_routed(lost, self.filters, max(self.shards, 1)), "routed")
-        return LineIndex(refs, counts, self._filters(routed, counts, max(self.shards, 1)), self.shards, refs.count())
+        updated = saved(_updated(lost, self.filters, max(self.shards, 1)), "updated")
+        return LineIndex(refs, counts, self._filters(updated, counts, max(self.shards, 1)), self.shards, refs.count())
 
-    def _filters(self, routed: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
-        fit = routed.where("key is null and buckets > 0").select("shard", "buckets", "slots", "n")
-        full = routed.where("key is null and buckets < 0").select("shard")
+    def _filters(self, updated: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
+        fit, full = updated.where("buckets > 0"), updated.where("buckets < 0").select("shard")
         if full.isEmpty():
             return fit
         own = counts.withColumn("shard", shard_of(F.col("key"), shards)).join(full, "shard", "left_semi").select("key")
@@ -219,7 +229,7 @@ class LineIndex:
 
     def holds(self, keys: DataFrame) -> DataFrame:
         """``keys`` (16-byte digests, distinct) with ``known``: false surely means that no document has the line."""
-        return _routed(keys.select("key", F.lit(False).alias("gone")), self.filters, max(self.shards, 1)).where("key is not null").select("key", "known")
+        return _asked(keys, self.filters, max(self.shards, 1))
 
     def dropped(self) -> DataFrame:
         """(did, keys): for each document the line keys that it loses, because

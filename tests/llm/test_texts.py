@@ -65,6 +65,27 @@ def test_line_index_is_reversible(spark, docs_rows):
     assert drops(back) == drops(half) and drops(back) != drops(whole)
 
 
+def test_keys_that_share_a_print_do_not_hide_each_other(spark):
+    spots = {}
+    for k in range(100_000):
+        line = f"planted line {k}"
+        h = line_dedup._hashes([hashlib.md5(line.encode()).digest()])
+        print_, a, b = Cuckoo(64)._spots(h)
+        other = spots.setdefault((int(print_[0]), *sorted((int(a[0]), int(b[0])))), line)
+        if other != line:
+            break
+    one = lambda i, t: spark.createDataFrame([(i, t)], "doc_id long, text string")
+    gone = lambda i: spark.createDataFrame([(i,)], "doc_id long")
+    both = LineIndex.empty(spark).insert(one(1, other)).insert(one(2, line))
+    assert both.filters.agg(F.sum("n")).first()[0] == 2
+    for first, second, text in ((1, 2, line), (2, 1, other)):
+        left = both.delete(gone(first))
+        assert [r["known"] for r in left.holds(left.counts.select("key")).collect()] == [True]
+        again = left.insert(one(3, text))
+        assert [(r["n"], r["first"], r["last"]) for r in again.counts.collect()] == [(2, second, 3)]
+        assert [r["did"] for r in again.dropped().collect()] == [3]
+
+
 def test_cuckoo_filter():
     import numpy as np
 
