@@ -7,7 +7,7 @@ is shifted, modulo its radixes, by a hash of the key, the kind, the round and
 the other half. That is a permutation of the values of one format, so equal
 values stay equal in every document and different ones stay different; signs
 between the symbols stay, check digits are computed anew, and dates stay
-dates. All of it is column expressions.
+dates in their own format (order, signs, digits of day and month). All of it is column expressions.
 """
 
 from __future__ import annotations
@@ -25,16 +25,19 @@ ROUNDS = 10
 KINDS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
-    "phone": r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}",
-    "date": r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}",
+    "phone": r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+[1-9](?:[ ()-]{0,2}\d){7,14}|\+[1-9]\d{0,2}(?:\.\d{1,4}){3,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}",
+    "date": r"\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}",
     "ssn": r"\d{3}-\d{2}-\d{4}",
     "ip": r"\d{1,3}(?:\.\d{1,3}){3}",
     "card": r"\d(?:[ -]?\d){12,18}",
 }
-#: No value begins or ends inside a longer run of letters, digits or joined numbers.
-FIND = r"(?<![\p{L}\p{N}@+])(?:" + "|".join(KINDS.values()) + r")(?![\p{L}\p{N}@]|[.-]\d)"
-FIRST_DAY, DAYS = "1900-01-01", 73049
-DATE_RADIX = (271, 270)
+#: No value begins or ends inside a longer run of letters, digits or joined numbers, but a time may follow a date.
+FIND = r"(?<![\p{L}\p{N}@+])(?:(?:" + "|".join(KINDS.values()) + r")(?![\p{L}\p{N}@]|[.-]\d)|\d{4}-\d{1,2}-\d{1,2}(?=[Tt]\d))"
+#: Eras whose dates are permuted among themselves: days since 0001-01-01 of the first, number of days, two radixes whose product is at least that.
+ERAS = ((693595, 73049, 271, 270), (0, 693595, 833, 833), (766644, 2885415, 1699, 1699))
+ORIGIN = "0001-01-01"
+#: Country codes of the E.164 plan with one and with two digits; all others have three.
+COUNTRY = r"^(?:([17])|(2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])|\d{3})"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -140,24 +143,59 @@ def _ip(value: Column, key: str) -> Column:
     return F.array_join(feistel(_octets(value), radix, key, "ip"), ".")
 
 
+def _day(value: Column, y: int, m: int, d: int) -> Column:
+    """The date whose year, month and day are the parts ``y``, ``m``, ``d`` of a value, null if there is none."""
+    part = F.split(value, "[-/.]")
+    two = lambda k: F.lpad(F.get(part, F.lit(k)), 2, "0")
+    year = F.get(part, F.lit(y))
+    return F.when(year != "0000", F.try_to_date(F.concat_ws("-", year, two(m), two(d)), "yyyy-MM-dd"))
+
+
+def _year_first(value: Column) -> Column:
+    return value.rlike(r"^\d{4}")
+
+
 def date_of(value: Column) -> Column:
-    """The date of a value in one of the three formats, null if there is none."""
-    iso = F.when(value.rlike("^\\d{4}-"), value).otherwise(F.concat_ws("-", F.substr(value, F.lit(7), F.lit(4)), F.substr(value, F.lit(4), F.lit(2)), F.substr(value, F.lit(1), F.lit(2))))
-    day = F.expr("date'" + FIRST_DAY + "'")
-    got = F.try_to_date(iso, "yyyy-MM-dd")
-    return F.when((got >= day) & (got < F.date_add(day, DAYS)), got)
+    """The date of a value in one of the formats, null if there is none. The
+    month may stand before the day only where day-first is no date."""
+    return F.when(_year_first(value), _day(value, 0, 1, 2)).otherwise(F.coalesce(_day(value, 2, 1, 0), _day(value, 2, 0, 1)))
 
 
 def _date(value: Column, key: str) -> Column:
-    """Days since 1900 as two symbols; values beyond 2099 are permuted again
-    (cycle walking) until they fall into the range."""
-    a, b = DATE_RADIX
-    radix = F.array(F.lit(a), F.lit(b))
-    number = lambda s: F.get(s, F.lit(0)) * b + F.get(s, F.lit(1))
-    start = _let(F.datediff(date_of(value), F.expr("date'" + FIRST_DAY + "'")), lambda n: feistel(F.array(F.floor(n / b).cast("int"), (n % b).cast("int")), radix, key, "date"))
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(12)), start, lambda s, _: F.when(number(s) < DAYS, s).otherwise(feistel(s, radix, key, "date")))
-    day = _let(walked, lambda s: F.date_add(F.expr("date'" + FIRST_DAY + "'"), number(s)))
-    return _let(day, lambda d: F.when(value.rlike("^\\d{4}-"), F.date_format(d, "yyyy-MM-dd")).when(value.contains("/"), F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "dd.MM.yyyy")))
+    """Days of the era as two symbols; dates beyond the era, or that the
+    value's format does not write, are permuted again (cycle walking) until
+    they fit: one digit of a day or month stays one digit, and a month-first
+    date stays one that cannot be read day-first."""
+    part = F.split(value, "[-/.]")
+    digits = lambda k: F.length(F.get(part, F.lit(k)))
+    origin = F.expr(f"date'{ORIGIN}'")
+    number = F.datediff(date_of(value), origin)
+    era = F.when(number < ERAS[0][0], 1).when(number < ERAS[2][0], 0).otherwise(2)
+    of = lambda k: F.get(F.array(*[F.lit(e[k]) for e in ERAS]), era)
+    turned = ~_year_first(value) & _day(value, 2, 1, 0).isNull()
+    shape = F.struct(number.alias("number"), of(0).alias("first"), of(1).alias("days"), of(2).alias("a"), of(3).alias("b"), turned.alias("turned"),
+                     F.when(turned, digits(0)).otherwise(digits(1)).alias("m"), F.when(_year_first(value), digits(2)).when(turned, digits(1)).otherwise(digits(0)).alias("d"))
+
+    def made(f: Column) -> Column:
+        radix = F.array(f["a"], f["b"])
+        place = lambda s: F.get(s, F.lit(0)) * f["b"] + F.get(s, F.lit(1))
+        day = lambda s: F.date_add(origin, f["first"] + place(s))
+        written = lambda d: ((f["m"] == 2) | (F.month(d) < 10)) & ((f["d"] == 2) | (F.day(d) < 10)) & (~f["turned"] | (F.day(d) > 12))
+        fits = lambda s: F.when(place(s) < f["days"], _let(day(s), written)).otherwise(F.lit(False))
+        start = _let(f["number"] - f["first"], lambda n: feistel(F.array(F.floor(n / f["b"]).cast("int"), (n % f["b"]).cast("int")), radix, key, "date"))
+        turns = F.when((f["m"] == 2) & (f["d"] == 2) & ~f["turned"], 12).otherwise(200)
+        walked = F.aggregate(F.sequence(F.lit(1), turns), start, lambda s, _: F.when(fits(s), s).otherwise(feistel(s, radix, key, "date")))
+        return _let(walked, lambda s: _let(day(s), lambda d: _written(value, d, f)))
+
+    return _let(shape, made)
+
+
+def _written(value: Column, day: Column, shape: Column) -> Column:
+    """``day`` in the format of ``value``."""
+    padded = lambda x, n: F.when(n == 1, x.cast("string")).otherwise(F.lpad(x.cast("string"), 2, "0"))
+    y, m, d = F.lpad(F.year(day).cast("string"), 4, "0"), padded(F.month(day), shape["m"]), padded(F.day(day), shape["d"])
+    sign = F.regexp_extract(value, "[-/.]", 0)
+    return F.when(_year_first(value), F.concat(y, sign, m, sign, d)).when(shape["turned"], F.concat(m, sign, d, sign, y)).otherwise(F.concat(d, sign, m, sign, y))
 
 
 def is_ssn(value: Column) -> Column:
@@ -170,9 +208,14 @@ def _ssn(value: Column, key: str) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(24)), start, lambda v, _: F.when(is_ssn(v), v).otherwise(_permuted(v, _bare(v), 0, key, "ssn")))
 
 
+def is_phone(value: Column) -> Column:
+    return F.length(_bare(value)).between(8, 15)
+
+
 def _phone(value: Column, key: str) -> Column:
-    """The last ten digits are permuted; a country code stays."""
-    return _let(_bare(value), lambda bare: _permuted(value, bare, F.length(bare) - 10, key, "phone"))
+    """All digits are permuted but a country code, which stays."""
+    code = lambda bare: F.when(value.startswith("+"), F.length(F.regexp_extract(bare, COUNTRY, 0))).otherwise(0)
+    return _let(_bare(value), lambda bare: _permuted(value, bare, code(bare), key, "phone"))
 
 
 def _email(value: Column, key: str) -> Column:
@@ -184,7 +227,7 @@ def _email(value: Column, key: str) -> Column:
 def kind_of(value: Column) -> Column:
     """Name of the first kind that a found value is a valid instance of, else null."""
     whole = lambda kind: value.rlike(f"^(?:{KINDS[kind]})$")
-    return (F.when(whole("email"), "email").when(whole("iban") & (iban_rest(_bare(value)) == 1), "iban").when(whole("phone"), "phone")
+    return (F.when(whole("email"), "email").when(whole("iban") & (iban_rest(_bare(value)) == 1), "iban").when(whole("phone"), F.when(is_phone(value), "phone"))
             .when(whole("date"), F.when(date_of(value).isNotNull(), "date")).when(whole("ssn"), F.when(is_ssn(value), "ssn"))
             .when(whole("ip"), F.when(is_ip(value), "ip")).when(whole("card"), F.when(is_card(value), "card")))
 

@@ -269,6 +269,33 @@ def test_pseudonyms(spark):
     assert other[11] != got[11]["text"]
 
 
+def test_dates_and_phones_of_other_formats(spark):
+    import datetime
+
+    shapes = {"2024-01-05T10:00": r"\d{4}-\d\d-\d\dT10:00", "12/31/1999": r"\d\d/\d\d/\d{4}", "1/2/1999": r"\d/\d/\d{4}", "5.11.2020": r"\d\.\d\d\.\d{4}", "2024/01/05": r"\d{4}/\d\d/\d\d", "2024-1-5": r"\d{4}-\d-\d",
+              "1850-03-04": r"1[0-8]\d\d-\d\d-\d\d|0\d{3}-\d\d-\d\d", "2150-03-04": r"[2-9]\d{3}-\d\d-\d\d", "743 555 3824": r"\d{3} \d{3} \d{4}", "+44 20 7946 0958": r"\+44 \d\d \d{4} \d{4}", "+33 1 23 45 67 89": r"\+33 \d \d\d \d\d \d\d \d\d",
+              "+4930123456": r"\+49\d{8}", "+44.20.7946.0958": r"\+44\.\d\d\.\d{4}\.\d{4}", "+44 (0)20 7946 0958": r"\+44 \(\d\)\d\d \d{4} \d{4}"}
+    left = ["2024-13-05T10:00", "13/13/1999", "0000-01-01", "2024-01-05x", "+1.2.3.4", "1/2/19999"]
+    docs = spark.createDataFrame([(k, f"at {v}, so") for k, v in enumerate([*shapes, *left])], "doc_id long, text string")
+    got = [r["text"] for r in pii.pseudonymised(docs).orderBy("doc_id").collect()]
+    for (v, shape), t in zip(shapes.items(), got):
+        assert t != f"at {v}, so" and re.fullmatch(f"at (?:{shape}), so", t), (v, t)
+    assert got[len(shapes):] == [f"at {v}, so" for v in left]
+    month, day, _ = map(int, re.findall(r"\d+", got[1]))
+    assert month <= 12 < day
+    # The same number stays the same in every way of writing it.
+    assert re.sub(r"\D", "", got[9]) == re.sub(r"\D", "", got[12])
+    # One to one within a format, and always a date of it.
+    days = [datetime.date(1990, 1, 1) + datetime.timedelta(k) for k in range(500)]
+    for write, mine in ((lambda d: f"{d.month:02}/{d.day:02}/{d.year}", lambda d: d.day > 12), (lambda d: f"{d.day}/{d.month}/{d.year}", lambda d: d.day < 10 and d.month < 10)):
+        own = [write(d) for d in days if mine(d)]
+        new = [r["text"] for r in pii.pseudonymised(spark.createDataFrame([(k, v) for k, v in enumerate(own)], "doc_id long, text string")).collect()]
+        assert len(set(new)) == len(own) and all(len(a) == len(b) for a, b in zip(own, new))
+        for v in new:
+            a, b, y = map(int, v.split("/"))
+            assert (b > 12 and datetime.date(y, a, b)) if len(v) == 10 else datetime.date(y, b, a)
+
+
 def test_feistel_is_a_permutation(spark):
     two = spark.range(900).select(F.array((F.col("id") / 30).cast("int"), (F.col("id") % 30).cast("int")).alias("s"))
     out = two.select(pii.feistel(F.col("s"), F.array(F.lit(30), F.lit(30)), "k", "t").alias("p"), "s").collect()
