@@ -4,7 +4,7 @@ Rows with one doc_id stay apart (``row_number``), as in the operators."""
 
 from __future__ import annotations
 
-from shipcast.llm import decontaminate, quality_rules, sharding, url_filters
+from shipcast.llm import decontaminate, quality_rules, sharding, spelling, url_filters
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
@@ -106,5 +106,73 @@ found AS (SELECT rid, count(*) AS n_items, string_agg(name, ',' ORDER BY name) A
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated FROM d LEFT JOIN n USING (rid) LEFT JOIN found USING (rid)"""
 
+
+def _crc(text: str) -> str:
+    """CRC32 of a text, with the table ``code`` of OP1."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: xor(c // 256, code[xor(c, b) % 256 + 1])), 4294967295)"
+
+
+_CODE = f"""crc(b, c, k) AS (SELECT range::BIGINT, range::BIGINT, 0 FROM range(256) UNION ALL SELECT b, {_CRC_STEP}, k + 1 FROM crc WHERE k < 8),
+code AS (SELECT list(c ORDER BY b) AS code FROM crc WHERE k = 8)"""
+
+OP11 = f"""
+WITH RECURSIVE {_CODE},
+run AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+own AS (SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS name, count(*) AS n FROM run GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc("name")} AS h FROM own, code),
+word AS (SELECT CASE WHEN h % {spelling.CUT_OUT_OF} = 0 THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, n FROM hashed),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM word WHERE length(word) >= {spelling.MIN_CHARS} GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}),
+spot AS (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM w),
+short AS (SELECT DISTINCT word, left(word, p - 1) || substr(word, p + 1) AS v FROM spot),
+holed AS (SELECT word, left(word, p - 1) || '*' || substr(word, p + 1) AS v FROM spot),
+pair AS (SELECT s.word AS a, s.v AS b FROM short s JOIN w ON w.word = s.v UNION ALL SELECT s.v, s.word FROM short s JOIN w ON w.word = s.v
+         UNION ALL SELECT x.word, y.word FROM holed x JOIN holed y ON x.v = y.v AND x.word <> y.word),
+near AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS best, max(w.n) AS best_n FROM pair JOIN w ON w.word = b GROUP BY a),
+formed AS (SELECT word, CASE WHEN best_n >= 2 * n THEN best END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n FROM w LEFT JOIN near USING (word)),
+way(word, root) AS (SELECT word, word FROM formed UNION ALL SELECT way.word, f.form FROM way JOIN formed f ON f.word = way.root WHERE f.form IS NOT NULL),
+last AS (SELECT way.word, way.root FROM way JOIN formed f ON f.word = way.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)"""
+
+_INSERTS = "VALUES (0, '', '', 0), (1, '', '', 1), (2, '', '', 2), (3, '', '', 3), (0, 'I', 'u', 2), (1, 'I', 'u', 2), (3, 'I', 'u', 2), (2, 'I', 'a', 3), (0, 'II', 'ua', 3), (1, 'II', 'ua', 3), (2, 'II', 'au', 2)"
+_NEXT = "CASE {role} WHEN 's' THEN CASE WHEN mid = 0 THEN 1 END WHEN 'u' THEN CASE WHEN mid <> 2 THEN 2 END WHEN 'a' THEN CASE WHEN mid = 2 THEN 3 END END"
+_PUT = "replace(replace(put, 'u', 'user:' || chr(10)), 'a', 'assistant:' || chr(10))"
+
+#: States of the role grammar: 0 nothing read, 1 a system turn, 2 a user turn without answer, 3 whole pairs.
+OP12 = f"""
+WITH RECURSIVE {_CODE},
+base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+hit AS (SELECT *, {_crc("name")} % 20 AS k FROM base, code),
+harmed AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                  unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM hit WHERE k <> 0),
+r AS (SELECT conv_id, turn, role, text, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM harmed),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, seen) AS i FROM r),
+f AS (SELECT *, CASE WHEN bare = '' THEN 1 WHEN seen THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+             count(*) FILTER (WHERE fault = 3) AS truncated, count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id),
+put(state, ins, put, mid) AS ({_INSERTS}),
+path(conv_id, i, state, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'said': ''}} FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, x.state, min(x.best) FROM (
+    SELECT p.conv_id, f.i, unnest([
+        {{'state': mid, 'best': {{'cost': best.cost + 5 * length(ins) + 2, 'audit': best.audit || ins || 'D', 'said': best.said || {_PUT}}}}},
+        {{'state': CASE WHEN fault NOT IN (1, 2) THEN {_NEXT.format(role="initial")} END,
+          'best': {{'cost': best.cost + 5 * length(ins) + CASE WHEN fault = 3 THEN 5 ELSE 0 END, 'audit': best.audit || ins || 'K', 'said': best.said || {_PUT} || role || ':' || text || chr(10)}}}},
+        {{'state': CASE WHEN fault NOT IN (1, 2) AND initial <> CASE WHEN mid = 2 THEN 'a' ELSE 'u' END THEN CASE WHEN mid = 2 THEN 3 ELSE 2 END END,
+          'best': {{'cost': best.cost + 5 * length(ins) + CASE WHEN fault = 3 THEN 6 ELSE 1 END, 'audit': best.audit || ins || 'R',
+                   'said': best.said || {_PUT} || CASE WHEN mid = 2 THEN 'assistant:' ELSE 'user:' END || text || chr(10)}}}}]) AS x
+    FROM path p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1 JOIN put ON put.state = p.state) WHERE x.state IS NOT NULL GROUP BY conv_id, i, x.state),
+ended AS (SELECT p.conv_id, p.i, min({{'cost': best.cost + 5 * length(ins), 'audit': best.audit || ins, 'said': best.said || {_PUT}}}) AS best FROM path p JOIN put ON put.state = p.state WHERE mid IN (0, 3) GROUP BY ALL)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       best.cost AS cost, best.audit AS audit, sha256(left(best.said, greatest(length(best.said) - 1, 0))) AS repaired_sha256
+FROM ended e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id WHERE e.i = coalesce(n, 0)"""
+
+OP13 = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, length(coalesce(text, '')) AS size, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY bare) AS group_size, row_number() OVER w = 1 AS kept, sha256(bare) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY bare ORDER BY size DESC, doc_id NULLS LAST, rid)"""
+
 #: XXH64 with its components (op5) and the models are not said in SQL.
-ORACLE: dict[str, str] = {"op1_sharding": OP1, "op2_quality_rules": OP2, "op3_url_filters": OP3, "op4_line_dedup": OP4, "op6_decontamination": OP6}
+ORACLE: dict[str, str] = {"op1_sharding": OP1, "op2_quality_rules": OP2, "op3_url_filters": OP3, "op4_line_dedup": OP4, "op6_decontamination": OP6,
+                          "op11_spelling": OP11, "op12_conversations": OP12, "op13_exact_dedup": OP13}

@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipcast.llm import classifier, decontaminate, html_extract, line_dedup, pieces, pii, quality_rules, sharding, simhash, url_filters
+from shipcast.llm import classifier, conversations, decontaminate, exact_dedup, html_extract, line_dedup, pieces, pii, quality_rules, sharding, simhash, spelling, url_filters
 from shipcast.llm.common import table
 from shipcast.llm.oracle import ORACLE  # noqa: F401
 
-#: Folder of the public tokenizer files.
-TOKENIZERS = "/opt/tokenizers"
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def model_path(name: str = PIECE_MODEL) -> str:
-    return os.path.join(os.environ.get("TOKENIZER_DIR", TOKENIZERS), name)
+    """The place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,21 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), model_path())
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    return spelling.spelling_variants(spelling.counted_words(table(spark, sf_dir, "documents")))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation, after damage."""
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")), F.col("present"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document and the row that stays."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over the documents."""
     import corpus_pipeline
@@ -81,4 +96,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_sharding, op2_quality_rules, op3_url_filters, op4_line_dedup, op5_simhash, op6_decontamination, op7_html_extraction, op8_pii, op9_quality_classifier, op10_sentencepiece, pipeline)}
+    op1_sharding, op2_quality_rules, op3_url_filters, op4_line_dedup, op5_simhash, op6_decontamination, op7_html_extraction, op8_pii, op9_quality_classifier, op10_sentencepiece, op11_spelling, op12_conversations, op13_exact_dedup, pipeline)}

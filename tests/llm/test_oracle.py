@@ -7,7 +7,7 @@ from shipcast.llm.oracle import ORACLE
 from shipcast.llm.queries import QUERIES
 
 SF_SMALL = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
 
 
 def _both(spark, folder, name):

@@ -190,7 +190,7 @@ def test_quality_rules(spark, docs_rows, odd_rows, odd_docs, no_docs):
         assert sorted(([r["doc_id"], *(r[c] for c in names)] for r in got), key=str) == sorted(([i, *_measures(t)] for i, t in src), key=str)
         for r in got:
             assert r["base_failed"] == (r["n_words"] < 50 or 2 * r["n_repeat_words"] > r["n_words"])
-            assert r["kept"] == (not r["base_failed"] and 2 * r["n_covered"] <= r["n_words"] and r["longest_repeat"] <= 100)
+            assert r["kept"] == (not r["base_failed"] and 4 * r["n_covered"] <= r["n_words"] and r["longest_repeat"] <= 50)
     assert quality_rules.judged(odd_docs).count() == len(odd_rows)
 
 
@@ -227,18 +227,3 @@ def test_shards_match_the_mixture(spark, shards, odd_docs, no_docs):
     odd = sharding.sharded(odd_docs, shards).collect()
     assert len(odd) == odd_docs.count() and [r["size"] for r in odd if r["doc_id"] == 1] == [1]
     assert sharding.sharded(no_docs, shards).collect() == []
-
-
-def test_oracle_sql(spark):
-    import duckdb
-
-    from shipcast.llm.queries import ORACLE, QUERIES
-
-    con = duckdb.connect()
-    con.execute("CREATE VIEW documents AS SELECT * FROM read_parquet('/root/testdata/sf0.01/documents.parquet')")
-    for name, sql in ORACLE.items():
-        got = QUERIES[name](spark, "/root/testdata/sf0.01")
-        want = con.execute(sql)
-        names = [c[0] for c in want.description]
-        assert sorted(names) == sorted(got.columns)
-        assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall())
