@@ -2,9 +2,10 @@
 exact reference counts.
 
 The index of a corpus has three tables: ``refs`` (one row for each distinct
-line key of each document), ``counts`` (key, number of references, first and
+line key of each row of a document), ``counts`` (key, number of references, first and
 last document) and ``filters`` (one cuckoo filter for each shard of the
-keys). Inserting documents asks the filters which keys may be known; keys
+keys; when the keys outgrow the shards, there are more shards from then on).
+Inserting documents asks the filters which keys may be known; keys
 that a filter does not hold are surely new and are appended without a look at
 ``counts``, the others are merged with it exactly. Every key without a row in
 ``counts`` then gets a print of its own, also one that the filter only seemed
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 from shipcast.llm.common import LOWER, SPACE, UPPER, ascii_lower, saved, skew_join
 
 MIN_CHARS = 10
-#: Mean number of keys of a shard; with them come the shards.
+#: Keys of a shard when the filters are dealt out; at twice as many they are dealt out anew.
 SHARD_KEYS = 1 << 17
 SLOTS = 4
-#: Stands for a null doc_id in comparisons: it sorts after every other id.
-NO_ID = 2**63 - 1
+#: Batches in which a whole table is inserted: each but the first asks the filters of those before.
+BATCHES = 2
 
 
 def _key(line: Column) -> Column:
@@ -39,10 +40,17 @@ def _key(line: Column) -> Column:
 
 
 def line_refs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(key, did): the distinct line keys of each row, as 16-byte digests."""
+    """(did, row, key): the distinct line keys of each row, as 16-byte
+    digests. ``did`` is the doc_id; with ``row``, a hash of the text, it names
+    the row."""
     keys = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), _key), lambda k: F.char_length(k) >= min_chars)
     digests = F.transform(F.array_distinct(keys), lambda k: F.unhex(F.md5(k)))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), F.explode(digests).alias("key"))
+    return docs.select(F.col("doc_id").alias("did"), F.xxhash64("text").alias("row"), F.explode(digests).alias("key"))
+
+
+def counted(refs: DataFrame) -> DataFrame:
+    """(key, n, first, last) of the references of documents that have an id."""
+    return refs.where("did is not null").groupBy("key").agg(F.count("*").alias("n"), F.min("did").alias("first"), F.max("did").alias("last"))
 
 
 class Cuckoo:
@@ -97,12 +105,20 @@ class Cuckoo:
     def delete(self, h: np.ndarray) -> None:
         """Take one print of each hash out (only hashes that were inserted)."""
         prints, a, b = self._spots(h)
-        for p, x, y in zip(prints.tolist(), a.tolist(), b.tolist()):
-            for bucket in (x, y):
-                slot = np.flatnonzero(self.table[bucket] == p)
-                if len(slot):
-                    self.table[bucket, slot[0]] = 0
-                    break
+        missed = self._take(prints, a)
+        self._take(prints[missed], b[missed])
+
+    def _take(self, prints: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Clear a slot with each print in its bucket; which were not there."""
+        missed, todo = np.zeros(len(at), dtype=bool), np.arange(len(at))
+        while len(todo):
+            _, one = np.unique(at[todo], return_index=True)  # one print of each bucket at a time
+            now, todo = todo[one], np.delete(todo, one)
+            hit = self.table[at[now]] == prints[now, None]
+            found = hit.any(axis=1)
+            self.table[at[now][found], hit.argmax(axis=1)[found]] = 0
+            missed[now[~found]] = True
+        return missed
 
 
 def built(h: np.ndarray, least: int = 64) -> Cuckoo:
@@ -179,64 +195,79 @@ class LineIndex:
     filters: DataFrame
     shards: int
     rows: int
+    shard_keys: int = SHARD_KEYS
 
     @staticmethod
-    def empty(spark: SparkSession, shards: int = 0) -> LineIndex:
-        """``shards`` 0: the first insertion sets it by its number of keys."""
-        return LineIndex(spark.createDataFrame([], "did long, key binary"), spark.createDataFrame([], "key binary, n long, first long, last long"),
-                         spark.createDataFrame([], FILTER), shards, 0)
+    def empty(spark: SparkSession, id_type: str = "long", shard_keys: int = SHARD_KEYS) -> LineIndex:
+        """``id_type``: the type of the documents' doc_id."""
+        return LineIndex(spark.createDataFrame([], f"did {id_type}, row long, key binary"), spark.createDataFrame([], f"key binary, n long, first {id_type}, last {id_type}"),
+                         spark.createDataFrame([], FILTER), 1, 0, shard_keys)
 
     def insert(self, docs: DataFrame, min_chars: int = MIN_CHARS) -> LineIndex:
         """The index with ``docs`` (doc_id, text) added. Rows of a doc_id that
         is there already are further rows of the same document."""
-        refs = saved(line_refs(docs, min_chars), "refs")
-        delta = saved(refs.groupBy("key").agg(F.count("*").alias("n"), F.min("did").alias("first"), F.max("did").alias("last")), "delta")
+        return self.insert_refs(saved(line_refs(docs, min_chars), "refs"))
+
+    def insert_refs(self, refs: DataFrame) -> LineIndex:
+        """The index with the references of ``line_refs`` added."""
+        delta = saved(counted(refs), "delta")
         rows = refs.count()
         if not rows:
             return self
-        shards = self.shards or -(-delta.count() // SHARD_KEYS)
         new = delta.select("key")
         if self.rows:
-            known = saved(_asked(new, self.filters, shards).where("known").select("key"), "known")
-            new = new.join(known.join(self.counts, "key", "left_semi"), "key", "left_anti")
+            known = saved(_asked(new, self.filters, self.shards).where("known").select("key"), "known")
             fresh, again = delta.join(known, "key", "left_anti"), delta.join(known, "key", "left_semi")
-            old = self.counts.join(known, "key", "left_anti")
-            merged = (self.counts.join(known, "key", "left_semi").unionByName(again).groupBy("key")
-                      .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")))
-            counts = saved(old.unionByName(merged).unionByName(fresh), "counts")
+            met = saved(self.counts.join(known, "key", "left_semi"), "met")
+            merged = met.unionByName(again).groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+            counts = saved(self.counts.join(met, "key", "left_anti").unionByName(merged).unionByName(fresh), "counts")
+            new = new.join(met, "key", "left_anti")
         else:
             counts = delta
-        updated = saved(_updated(new.withColumn("gone", F.lit(False)), self.filters, shards), "updated")
-        return LineIndex(self.refs.unionByName(refs) if self.rows else refs, counts, self._filters(updated, counts, shards), shards, self.rows + rows)
+        grown = LineIndex(self.refs.unionByName(refs) if self.rows else refs, counts, self.filters, self.shards, self.rows + rows, self.shard_keys)
+        return grown._with_filters(new.withColumn("gone", F.lit(False)))
 
     def delete(self, ids: DataFrame) -> LineIndex:
         """The index without the documents of ``ids`` (a column doc_id)."""
-        gone = ids.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did")).distinct()
-        keys = saved(self.refs.join(gone, "did", "left_semi").select("key").distinct(), "touched")
-        refs = saved(self.refs.join(gone, "did", "left_anti"), "refs")
-        recounted = refs.join(keys, "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"), F.min("did").alias("first"), F.max("did").alias("last"))
-        counts = saved(self.counts.join(keys, "key", "left_anti").unionByName(recounted), "counts")
-        lost = keys.join(counts, "key", "left_anti").withColumn("gone", F.lit(True))
-        updated = saved(_updated(lost, self.filters, max(self.shards, 1)), "updated")
-        return LineIndex(refs, counts, self._filters(updated, counts, max(self.shards, 1)), self.shards, refs.count())
-
-    def _filters(self, updated: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
+        gone = ids.select(F.col("doc_id").alias("did")).distinct()
+        same = F.col("r.did").eqNullSafe(F.col("g.did"))
+        own, lost = self.refs.alias("r"), gone.alias("g")
+        keys = saved(own.join(lost, same, "left_semi").select("key").distinct(), "touched")
+        refs = saved(own.join(lost, same, "left_anti"), "refs")
+        counts = saved(self.counts.join(keys, "key", "left_anti").unionByName(counted(refs.join(keys, "key", "left_semi"))), "counts")
+        out = keys.join(self.counts, "key", "left_semi").join(counts, "key", "left_anti")
+        shrunk = LineIndex(refs, counts, self.filters, self.shards, refs.count(), self.shard_keys)
+        return shrunk._with_filters(out.withColumn("gone", F.lit(True)))
+
+    def _with_filters(self, delta: DataFrame) -> LineIndex:
+        """The filters brought up to date, in more shards if the keys have
+        outgrown them; a filter that is too full is built anew."""
+        keys = self.counts.count()
+        if keys > 2 * self.shards * self.shard_keys or not self.filters.head(1):
+            shards = max(1, -(-keys // self.shard_keys))
+            return replace(self, filters=saved(_rebuilt(self.counts.select("key"), shards), "filters"), shards=shards)
+        updated = saved(_updated(delta, self.filters, self.shards), "updated")
         fit, full = updated.where("buckets > 0"), updated.where("buckets < 0").select("shard")
         if full.isEmpty():
-            return fit
-        own = counts.withColumn("shard", shard_of(F.col("key"), shards)).join(full, "shard", "left_semi").select("key")
-        return saved(fit.unionByName(_rebuilt(own, shards)), "filters")
+            return replace(self, filters=fit)
+        own = self.counts.withColumn("shard", shard_of(F.col("key"), self.shards)).join(full, "shard", "left_semi").select("key")
+        return replace(self, filters=saved(fit.unionByName(_rebuilt(own, self.shards)), "filters"))
 
     def holds(self, keys: DataFrame) -> DataFrame:
-        """``keys`` (16-byte digests, distinct) with ``known``: false surely means that no document has the line."""
-        return _asked(keys, self.filters, max(self.shards, 1))
+        """``keys`` (16-byte digests, distinct) with ``known``: false surely means that no document with an id has the line."""
+        return _asked(keys, self.filters, self.shards)
 
     def dropped(self) -> DataFrame:
-        """(did, keys): for each document the line keys that it loses, because
-        at least two documents hold them and it is not the smallest of them."""
+        """(did, row, keys): for each row the line keys that it loses: those
+        that a smaller doc_id holds too, and for a row without an id those that
+        any document with an id holds."""
         held = self.counts.where("first < last").select("key", "n", "first")
-        lost = skew_join(self.refs, held, "key", "n", self.rows).where("did > first")
-        return lost.groupBy("did").agg(F.collect_set("key").alias("keys"))
+        lost = skew_join(self.refs.where("did is not null"), held, "key", "n", self.rows).where("did > first")
+        bare = self.refs.where("did is null")
+        if not bare.isEmpty():
+            crowd = bare.groupBy("key").agg(F.count("*").alias("n"))
+            lost = lost.unionByName(skew_join(bare, crowd.join(self.counts.select("key", "first"), "key"), "key", "n", self.rows))
+        return lost.groupBy("did", "row").agg(F.collect_set("key").alias("keys"))
 
 
 def _without(text: Column, keys: Column, min_chars: int) -> Column:
@@ -264,17 +295,28 @@ def _without(text: Column, keys: Column, min_chars: int) -> Column:
     return cut(text, keys)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
     """``docs`` with the further column ``lines`` (n_lines, n_dropped, kept).
 
     The text is split at \\n (null or empty: one empty line). A line's key is
     the line without ASCII white space at its ends and with A-Z lower-cased.
     Keys of at least ``min_chars`` code points that at least two documents
-    hold lose all their lines, except in the smallest doc_id. Rows with one
-    doc_id are one document and keep or lose their lines together; null ids
-    are one document that comes after all others. Other columns pass through;
-    a column named ``lines`` is replaced."""
-    index = LineIndex.empty(docs.sparkSession).insert(docs, min_chars)
-    lost = saved(index.dropped(), "dropped").select(F.col("did").alias("_line_did"), F.col("keys").alias("_line_keys"))
-    own = docs.withColumn("_line_did", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return own.join(lost, "_line_did", "left").withColumn("lines", _without(F.col("text"), F.col("_line_keys"), min_chars)).drop("_line_did", "_line_keys")
+    hold lose all their lines, except in the smallest doc_id. A doc_id may be
+    of any type that is ordered. Rows with one doc_id are one document and keep
+    or lose their lines together. A row without a doc_id is never the one that
+    keeps a line: it loses the lines that documents with an id hold. Other
+    columns pass through; one named ``lines`` is replaced, and names that begin
+    with ``_line_`` are taken.
+
+    The documents are inserted into an empty index in batches. Long texts are
+    split by rows of lines; a row is named by its doc_id and a hash of its text,
+    so that many rows of one id are not gathered."""
+    spark = docs.sparkSession
+    refs = saved(line_refs(docs, min_chars), "refs")
+    index = LineIndex.empty(spark, docs.schema["doc_id"].dataType.simpleString())
+    for k in range(batches):
+        index = index.insert_refs(refs.where(F.pmod(F.xxhash64("did"), F.lit(batches)) == k))
+    lost = saved(index.dropped(), "dropped").select(F.col("did").alias("_line_did"), F.col("row").alias("_line_row"), F.col("keys").alias("_line_keys"))
+    own = docs.withColumn("_line_hash", F.xxhash64("text"))
+    same = own["doc_id"].eqNullSafe(lost["_line_did"]) & (own["_line_hash"] == lost["_line_row"])
+    return own.join(lost, same, "left").withColumn("lines", _without(F.col("text"), F.col("_line_keys"), min_chars)).drop("_line_did", "_line_row", "_line_hash", "_line_keys")

@@ -13,7 +13,6 @@ from shipcast.llm.line_dedup import Cuckoo, LineIndex, built
 
 SPACE = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-NO_ID = 2**63 - 1
 
 
 def _key(line):
@@ -24,13 +23,12 @@ def _kept_lines(rows):
     held = collections.defaultdict(set)
     for i, t in rows:
         for line in (t or "").split("\n"):
-            if len(_key(line)) >= 10:
-                held[_key(line)].add(NO_ID if i is None else i)
+            if len(_key(line)) >= 10 and i is not None:
+                held[_key(line)].add(i)
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
-        own = NO_ID if i is None else i
-        kept = [x for x in lines if len(held.get(_key(x), ())) < 2 or min(held[_key(x)]) == own]
+        kept = [x for x in lines if not (own := held.get(_key(x), ())) or i is not None and min(own) == i]
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return sorted(out, key=str)
 
@@ -44,6 +42,33 @@ def test_line_dedup(spark, docs_rows, odd_rows, odd_docs, no_docs):
     real = spark.createDataFrame(docs_rows, "doc_id long, text string")
     assert _lines(real) == _kept_lines(docs_rows)
     assert _lines(no_docs) == []
+    named = [(None if i is None else f"d{i:04}", t) for i, t in odd_rows]
+    assert _lines(spark.createDataFrame(named, "doc_id string, text string")) == _kept_lines(named)
+    last = [(2**63 - 1, "the very last line"), (None, "the very last line"), (None, "only without an id"), (None, "only without an id"), (7, "x\nthe very last line"), (7, "the very last line")]
+    assert _lines(spark.createDataFrame(last, "doc_id long, text string")) == _kept_lines(last)
+
+
+def test_lines_are_met_through_the_filters(spark, monkeypatch):
+    """The second batch meets the counts of the first only by its filters."""
+    rows = [(k, f"own line of document {k}\nshared line number {k % 30}") for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _lines(df) == _kept_lines(rows)
+    monkeypatch.setattr(line_dedup.Cuckoo, "holds", lambda self, h: line_dedup.np.zeros(len(h), dtype=bool))
+    assert _lines(df) != _kept_lines(rows)
+
+
+def test_filters_are_dealt_anew_when_keys_outgrow_them(spark):
+    line = lambda k: f"a line of number {k:06}"
+    docs = lambda a, b: spark.createDataFrame([(k, f"{line(k)}\n{line(k // 2)}") for k in range(a, b)], "doc_id long, text string")
+    index = LineIndex.empty(spark, shard_keys=50).insert(docs(0, 30))
+    assert index.shards == 1
+    index = index.insert(docs(30, 900))
+    assert index.shards == 18 and index.filters.count() == 18 and index.filters.agg(F.max("n")).first()[0] < 100
+    assert index.holds(index.counts.select("key")).where("not known").count() == 0
+    back = index.insert(docs(900, 950)).delete(spark.range(30, 900).select(F.col("id").alias("doc_id"))).insert(docs(30, 900))
+    whole = LineIndex.empty(spark).insert(docs(0, 950))
+    drops = lambda index: sorted((r["did"], sorted(map(bytes, r["keys"]))) for r in index.dropped().collect())
+    assert drops(back) == drops(whole) and back.counts.count() == whole.counts.count()
 
 
 def test_line_index_is_reversible(spark, docs_rows):
