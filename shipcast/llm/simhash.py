@@ -168,6 +168,18 @@ def components(pairs: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _grouped(docs: DataFrame, limit: int, shingle_words: int, segments: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, fp) of each row, ``row`` a hash of its text; and (fp, n,
+    root, component_id) of each fingerprint."""
+    text = F.col(text_col)
+    prints = saved(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row"), fingerprint_column(text, shingle_words).alias("fp")), "prints")
+    fps = saved(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")), "fps")
+    nodes = saved(components(links(fps.select("fp"), limit, segments)), "nodes")
+    rooted = fps.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", "first", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("k"))
+    return prints, saved(skew_join(rooted.select("fp", "n", "root"), least, "root", "k", fps.count()).select("fp", "n", "root", "component_id"), "named")
+
+
 def near_duplicates(docs: DataFrame, limit: int = 4, shingle_words: int = 4, segments: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -176,11 +188,37 @@ def near_duplicates(docs: DataFrame, limit: int = 4, shingle_words: int = 4, seg
     link like any other. Repeated rows are kept; a null doc_id keeps its row
     but names a component only if no other id is in it. Other columns are not
     read; an empty table gives no rows."""
-    prints = saved(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col), shingle_words).alias("fp")), "prints")
-    fps = saved(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")), "fps")
-    nodes = saved(components(links(fps.select("fp"), limit, segments)), "nodes")
-    rooted = fps.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("k"))
-    named = saved(skew_join(rooted.select("fp", "n", "root"), least, "root", "k", fps.count()).select("fp", "n", "component_id"), "named")
-    out = skew_join(prints, named, "fp", "n", prints.count())
+    prints, named = _grouped(docs, limit, shingle_words, segments, id_col, text_col)
+    out = skew_join(prints, named.drop("root"), "fp", "n", prints.count())
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def distinct_documents(docs: DataFrame, limit: int = 4, shingle_words: int = 4, segments: int = 5) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any other columns) without near
+    duplicates: one row of each component stays.
+
+    That is the row of the smallest doc_id (a null one comes last); of rows of
+    one id, the one of the least fingerprint, then of the least hash of its
+    text; of rows with the same id and text, any one. Null and empty texts form
+    one component. Rows are told apart by doc_id and a hash of the text, and
+    the rows to drop are anti-joined, so that texts are shuffled only where
+    these are too many to broadcast. Names that begin with ``_near_`` are
+    taken."""
+    prints, named = _grouped(docs, limit, shingle_words, segments, "doc_id", "text")
+    rows = saved(skew_join(prints, named.select("fp", "n", "root"), "fp", "n", prints.count()), "rows")
+    place = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "fp", "row")
+    best = rows.groupBy("root").agg(F.min(place).alias("keep")).select("root", "keep.doc_id", "keep.fp", "keep.row")
+    marked = saved(rows.groupBy("root", "doc_id", "fp", "row").agg(F.count("*").alias("n")).alias("r")
+                   .join(best.withColumn("stays", F.lit(True)).alias("b"), (F.col("r.root") == F.col("b.root")) & (F.col("r.row") == F.col("b.row")) & (F.col("r.fp") == F.col("b.fp")) & F.col("r.doc_id").eqNullSafe(F.col("b.doc_id")), "left")
+                   .select(F.col("r.doc_id").alias("_near_id"), F.col("r.row").alias("_near_row"), "n", F.coalesce("stays", F.lit(False)).alias("stays")), "marked")
+    own = docs.withColumn("_near_hash", F.xxhash64("text"))
+
+    def among(names: DataFrame, how: str) -> DataFrame:
+        return own.join(names, own["doc_id"].eqNullSafe(names["_near_id"]) & (own["_near_hash"] == names["_near_row"]), how)
+
+    # Rows that are repeated whole go like the others; one of each that stays comes back.
+    out = among(marked.where("not stays or n > 1").select("_near_id", "_near_row"), "left_anti")
+    again = marked.where("stays and n > 1").select("_near_id", "_near_row")
+    if not again.isEmpty():
+        out = out.unionByName(among(again, "left_semi").dropDuplicates(["doc_id", "_near_hash"]))
+    return out.drop("_near_hash")
