@@ -190,6 +190,8 @@ NEAR = "word string, n_near long, best_n long, best string"
 def _searched(frame: pd.DataFrame) -> pd.DataFrame:
     """Of each word of a cell, or that asks it: its near words found here,
     how many, and the best of them (largest n, then the smallest)."""
+    if not frame["own"].any():  # a cell that is asked and has no words
+        frame = frame.iloc[:0]
     text, n = frame["word"].to_numpy(), frame["n"].to_numpy()
     words = np.array([w.encode("latin-1") for w in text], dtype=object)
     a, b = search(words, frame["own"].to_numpy(dtype=bool))
@@ -209,14 +211,16 @@ def near_words(words: DataFrame, cell: int = CELL) -> DataFrame:
     depths = words.select(F.posexplode(_depths(F.col("word"))).alias("depth", "cell")).groupBy("depth", "cell").agg(F.count("*").alias("n"))
     widest = {r["depth"]: r["n"] for r in depths.groupBy("depth").agg(F.max("n").alias("n")).collect()}
     depth = next((d for d in range(DEPTH) if widest.get(d, 0) <= cell), DEPTH)
-    cells = depths.where(F.col("depth") == depth).select("cell", F.ceil(F.col("n") / cell).cast("int").alias("blocks"))
     own = words.select("word", "n", F.element_at(_depths(F.col("word")), depth + 1).alias("cell"), F.lit(True).alias("own"))
     asks = words.select("word", "n", F.explode(_asked(F.col("word"), depth)).alias("cell"), F.lit(False).alias("own"))
-    # Every cell with words is in ``cells``; asking one that has none ends here. Of two blocks the lower asks the higher.
-    dealt = own.unionByName(asks).join(cells, "cell").withColumn("home", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
-    begin = F.when(F.col("own"), F.col("home")).otherwise(F.lit(0))
-    dealt = (dealt.withColumn("block", F.explode(F.sequence(begin, F.col("blocks") - 1)))
-             .withColumn("own", F.col("own") & (F.col("block") == F.col("home"))))
+    dealt = own.unionByName(asks).withColumn("block", F.lit(0))
+    if widest.get(depth, 0) > cell:
+        # Cells that no further level divides are dealt in blocks, and of two blocks the lower asks the higher.
+        cells = depths.where(F.col("depth") == depth).select("cell", F.ceil(F.col("n") / cell).cast("int").alias("blocks"))
+        home = F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")
+        begin = F.when(F.col("own"), home).otherwise(F.lit(0))
+        dealt = (dealt.drop("block").join(cells, "cell").withColumn("block", F.explode(F.sequence(begin, F.col("blocks") - 1)))
+                 .withColumn("own", F.col("own") & (F.col("block") == home)).repartition("cell", "block"))
     found = dealt.select("cell", "block", "word", "n", "own").groupBy("cell", "block").applyInPandas(_searched, NEAR)
     best = F.min(F.struct((-F.col("best_n")).alias("less"), "best"))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select("word", "n_near", (-F.col("best.less")).alias("best_n"), F.col("best.best").alias("best"))
