@@ -10,7 +10,7 @@ from its result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipcast.llm import classifier, decontaminate, line_dedup, pieces, simhash
@@ -38,25 +38,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates: that of the
-    smallest doc_id, and of repeated rows of it one. Rows without a doc_id
-    stay only where their component has no id; one of them stays."""
-    groups = saved(simhash.near_duplicates(docs.select("doc_id", "text")), "groups")
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("_row", one).where("_row = 1").select(*docs.columns)
-    nameless = groups.where("component_id is null").select("fingerprint").distinct()
-    fp = F.lpad(F.lower(F.hex(simhash.fingerprint_column(F.col("text")))), 16, "0")
-    bare = docs.where("doc_id is null")
-    if nameless.isEmpty():
-        return named
-    return named.unionByName(bare.withColumn("_fp", fp).join(nameless.withColumnRenamed("fingerprint", "_fp"), "_fp").dropDuplicates(["_fp"]).select(*docs.columns))
+    """One row of each component of near-duplicates: that of the smallest
+    doc_id, and of rows without an id one only where no other is in it."""
+    return simhash.distinct_documents(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lies in
-    benchmark windows; they stay as they are."""
-    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    benchmark windows, without the spans of those windows; text and n_chars
+    are those of what is left, and documents without hits stay as they are."""
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"), cut_spans=True)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
