@@ -3,6 +3,8 @@ type handling, delivery expressions and the budget-event filter."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ from shipcast.operators.monitor import rule_score
 from shipcast.plans.catalog import (INGEST_CUTOFF, RAW_DOUBLES, _q, ops_orders)
 from shipcast.plans.medallion import raw_orders, silver_orders
 from shipcast.registry import register, rnd, rounded, sql_rounded, xavg, xsum
+from shipcast.session import ensure_checkpoint_dir
 from shipcast.sources import sinks
+from shipcast.sources.layers import refresh_dates
 from shipcast.sources.orders import RAW_COLUMNS
 from shipcast.sources.tables import table
 
@@ -123,6 +127,56 @@ def q_backfill_orders(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sinks.backfill_rows(ops_orders(spark, sf), warehouse, max_rows=None))
 
 
+def _job_folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shipcast-jobs/{name}-{uuid.uuid4().hex}"
+
+
+#: Ends of the ingest slices of ``ingest_slices``: the store takes the rows in this order.
+SLICES = ["1997-01-01 00:00:00", "1999-01-01 00:00:00", INGEST_CUTOFF]
+
+
+@register("ingest_slices", _q(["ops"], f"SELECT * REPLACE ({sql_rounded(RAW_DOUBLES)}) FROM ops"))
+def q_ingest_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw rows come in slices of ingestion time; each inserts
+    the keys that the store's key index does not hold. The store then has the
+    first row of every order."""
+    raw, path = raw_orders(spark, sf), _job_folder(spark, "store")
+    ts, low = F.col("ingestion_timestamp"), None
+    for high in [*SLICES, None]:
+        below = ts < F.lit(high).cast("timestamp_ntz") if high else F.lit(True)
+        part = raw.where(below & (ts >= F.lit(low).cast("timestamp_ntz")) if low else below | ts.isNull())
+        sinks.insert_through_index(part, path)
+        low = high
+    return rounded(spark.read.parquet(path))
+
+
+@register("backfill_in_ranges", _q(["ops", "raw"], f"""
+SELECT * REPLACE ({sql_rounded(RAW_DOUBLES)}) FROM ops
+WHERE order_id NOT IN (SELECT order_id FROM raw WHERE order_timestamp < TIMESTAMP '{INGEST_CUTOFF}')"""))
+def q_backfill_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """S7, resumable: the backfill in ranges of months, stopped after one
+    range and taken up again; the rows it added to the warehouse, which held
+    the ids of the raw rows before the cutoff."""
+    held = raw_orders(spark, sf).where(F.col("order_timestamp") < F.lit(INGEST_CUTOFF).cast("timestamp_ntz"))
+    ops, path, progress = ops_orders(spark, sf), _job_folder(spark, "warehouse"), _job_folder(spark, "progress")
+    held.select("order_id").distinct().write.parquet(path)
+    rows = max(1, ops.count() // 4)
+    sinks.backfill_in_ranges(ops, path, progress, range_rows=rows, max_ranges=1)
+    sinks.backfill_in_ranges(ops, path, progress, range_rows=rows)
+    return rounded(spark.read.schema(ops.schema).parquet(path).join(held.select("order_id"), "order_id", "left_anti").select(*ops.columns))
+
+
+@register("refresh_dates", _q(["silver"], f"SELECT * REPLACE ({sql_rounded(RAW_DOUBLES)}) FROM silver"))
+def q_refresh_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """S4, incremental: silver in folders of a date, first without the orders
+    of one year, then with all of them; the second refresh writes the dates of
+    that year only."""
+    silver, path = silver_orders(spark, sf), _job_folder(spark, "silver")
+    refresh_dates(silver.where(F.year("order_date") != 1997), path)
+    refresh_dates(silver, path)
+    return rounded(spark.read.schema(silver.schema).parquet(path))
+
+
 @register("align_schema", _q(["ops"], f"""
 SELECT * REPLACE (CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS customer_email,
                   {sql_rounded(RAW_DOUBLES)}) FROM ops"""))

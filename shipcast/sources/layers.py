@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -63,18 +64,24 @@ def hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a table has a data file (with or without a ``_SUCCESS``
-    marker, which not every committer writes)."""
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a table, as paths below it (without ``_SUCCESS`` and
+    other markers, which not every committer writes)."""
     p, fs = hadoop_path(spark, path)
     if not fs.exists(p):
-        return False
+        return []
+    root, out = fs.makeQualified(p).toString(), []
     files = fs.listFiles(p, True)
     while files.hasNext():
-        name = files.next().getPath().toString()[len(p.toString()):]
-        if "/_" not in name.replace("/_stream=", "/").replace("/_epoch=", "/") and "/." not in name:
-            return True
-    return False
+        name = files.next().getPath().toString()[len(root):]
+        if "/_" not in re.sub(r"/_\w+=", "/", name) and "/." not in name:
+            out.append(name.lstrip("/"))
+    return out
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table has a data file."""
+    return bool(data_files(spark, path))
 
 
 MONTH = "_month"
@@ -103,12 +110,57 @@ def refresh_layer(df: DataFrame, path: str, partition_by_date: bool = False,
         df.write.mode(mode).parquet(path)
 
 
+def _date_prints(df: DataFrame, date_col: str) -> DataFrame:
+    """(date, n, mark) of each date: its rows and the sum of their hashes."""
+    mark = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
+    return df.groupBy(F.col(date_col).alias("date")).agg(F.count("*").alias("n"), mark.alias("mark"))
+
+
+def refresh_dates(df: DataFrame, path: str, date_col: str = "order_date") -> list[str]:
+    """S4, incremental: bring the table at ``path``, in folders of a date and
+    clustered inside, to the rows of ``df``; the dates that were rewritten.
+
+    Only dates whose rows differ from those of the last refresh are written
+    (dynamic partition overwrite), and folders of dates that have gone are
+    deleted; other folders are not touched. A date differs if its number of
+    rows or the sum of their hashes does. What the last refresh wrote is kept
+    beside the table; if a writer dies before it is noted, the next refresh
+    writes the same dates again. NULL dates have a folder of their own."""
+    spark, state = df.sparkSession, f"{path.rstrip('/')}_dates"
+    root, fs = hadoop_path(spark, f"{state}/states")
+    versions = [int(f.getPath().getName()) for f in fs.listStatus(root) if f.getPath().getName().isdigit()] if fs.exists(root) else []
+    last = max(versions, default=0)
+    prints = f"prints-{uuid.uuid4().hex}"
+    _date_prints(df, date_col).write.parquet(f"{state}/{prints}")
+    now = spark.read.parquet(f"{state}/{prints}")
+    before = spark.read.parquet(f"{state}/{published(spark, f'{state}/states/{last}')}") if last else now.where("false")
+    pair = now.alias("a").join(before.alias("b"), F.col("a.date").eqNullSafe(F.col("b.date")), "full_outer")
+    differs = ~F.col("a.n").eqNullSafe(F.col("b.n")) | ~F.col("a.mark").eqNullSafe(F.col("b.mark"))
+    # One row for each date that differs: bounded by the calendar, not by the rows.
+    changed = [(r["date"], r["stays"]) for r in pair.where(differs).select(F.coalesce("a.date", "b.date").alias("date"), F.col("a.n").isNotNull().alias("stays")).collect()]
+    written = [d for d, stays in changed if stays]
+    if written:
+        cluster = [c for c in CLUSTER_KEYS if c in df.columns]
+        wanted = F.col(date_col).isin([d for d in written if d is not None])
+        if None in written:
+            wanted = wanted | F.col(date_col).isNull()
+        out = df.where(wanted).hint("rebalance", date_col).sortWithinPartitions(date_col, *cluster)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
+    for d, stays in changed:
+        if not stays:
+            folder, fs = hadoop_path(spark, f"{path.rstrip('/')}/{date_col}={'__HIVE_DEFAULT_PARTITION__' if d is None else d}")
+            fs.delete(folder, True)
+    publish(spark, prints, f"{state}/states/{last + 1}")
+    return sorted(str(d) for d in written)
+
+
 def _month(ts: Column) -> Column:
     """Months since year 0 (NULL times have a folder of their own)."""
     return (F.year(ts) * 12 + F.month(ts) - 1).cast("int")
 
 
-def _published(spark: SparkSession, pointer: str) -> str | None:
+def published(spark: SparkSession, pointer: str) -> str | None:
+    """What the pointer file says, None if there is none."""
     path, fs = hadoop_path(spark, pointer)
     if not fs.exists(path):
         return None
@@ -119,16 +171,18 @@ def _published(spark: SparkSession, pointer: str) -> str | None:
         read.close()
 
 
-def _publish(spark: SparkSession, folder: str, pointer: str) -> None:
+def publish(spark: SparkSession, folder: str, pointer: str) -> None:
     """Make the pointer name ``folder``. The pointer is written aside and
-    renamed; of two writers either wins, both folders are whole."""
+    renamed; of two writers either wins, both folders are whole. A rename is
+    atomic on HDFS and local disks; an object store needs a file system that
+    renames one small file atomically."""
     aside, fs = hadoop_path(spark, f"{pointer}.{uuid.uuid4().hex[:8]}")
     out = fs.create(aside, False)
     out.writeUTF(folder)
     out.close()
     if not fs.rename(aside, hadoop_path(spark, pointer)[0]):
         fs.delete(aside, False)  # the pointer is there already
-        if _published(spark, pointer) is None:
+        if published(spark, pointer) is None:
             raise OSError(f"cannot publish {pointer}")
 
 
@@ -145,12 +199,12 @@ def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
         if not base:
             return build() if since is None else build().where(wanted)
         pointer = f"{base.rstrip('/')}/{LAYERS}/{mark}/{name}.current"
-        folder = _published(spark, pointer)
+        folder = published(spark, pointer)
         if folder is None:
             folder = f"{base.rstrip('/')}/{LAYERS}/{mark}/{name}-{uuid.uuid4().hex[:8]}"
             refresh_layer(build(), folder, month_of=month_of)
-            _publish(spark, folder, pointer)
-            folder = _published(spark, pointer)
+            publish(spark, folder, pointer)
+            folder = published(spark, pointer)
         _MEMO[key] = spark.read.parquet(folder)
     df = _MEMO[key]
     if since is not None:

@@ -3,12 +3,16 @@ prediction append and small JSON reports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.operators.clean import dedupe_orders
 from shipcast.operators.metrics import cap_rows
-from shipcast.sources.layers import align_schema, append_rows, has_files  # noqa: F401  (re-exported sinks)
+from shipcast.sources.keyed import KeyIndex
+from shipcast.sources.layers import align_schema, append_rows, hadoop_path, has_files  # noqa: F401  (re-exported sinks)
 
 
 def new_rows(incoming: DataFrame, target: DataFrame, key: str = "order_id") -> DataFrame:
@@ -31,6 +35,20 @@ def insert_new_orders(incoming: DataFrame, target: DataFrame, target_path: str,
     return stored() - before
 
 
+def insert_through_index(incoming: DataFrame, target_path: str, key: str = "order_id") -> int:
+    """S5 for small batches into a large table: the table's key index says
+    which keys are stored; returns by how many rows the table grew."""
+    spark = incoming.sparkSession
+    index = KeyIndex(spark, target_path, key)
+    index.sync()
+    new = index.missing(dedupe_orders(incoming, key)).persist()
+    try:
+        new.write.mode("append").parquet(target_path)
+        return new.count()
+    finally:
+        new.unpersist()
+
+
 def backfill_rows(source: DataFrame, warehouse: DataFrame, key: str = "order_id",
                   max_rows: int | None = None) -> DataFrame:
     """Source rows missing from the warehouse, optionally the oldest
@@ -40,6 +58,61 @@ def backfill_rows(source: DataFrame, warehouse: DataFrame, key: str = "order_id"
     return cap_rows(source.join(warehouse.select(key), key, "left_anti"), max_rows, key)
 
 
+PROGRESS = "lo timestamp_ntz, hi timestamp_ntz, rows bigint"
+
+
+def backfill_in_ranges(source: DataFrame, warehouse_path: str, progress_path: str, key: str = "order_id",
+                       time_col: str = "order_timestamp", range_rows: int = 50_000_000, max_ranges: int | None = None) -> int:
+    """S7, resumable: append the source rows that the warehouse lacks, oldest
+    range of months first, and note each finished range in the progress table
+    (lo, hi, rows); the number of ranges done by this call.
+
+    A retry leaves out the months of noted ranges. A range that was appended
+    but not noted adds nothing again, because the missing keys are found anew
+    by every call (one anti join of the narrow key columns). A range is as many
+    whole months as hold ``range_rows`` missing rows, and reads only its time
+    range of the source; rows without a time are a range of their own.
+    ``max_ranges`` ends a call early."""
+    spark = source.sparkSession
+    month = F.date_trunc("month", F.col(time_col)).cast("timestamp_ntz")
+    keys = source.select(key, month.alias("_m"))
+    if has_files(spark, progress_path):
+        # One row for each range: bounded by the months.
+        noted = spark.read.parquet(progress_path).select("lo", "hi").collect()
+        for lo, hi in noted:
+            keys = keys.where(F.col("_m").isNotNull() if lo is None else F.col("_m").isNull() | (F.col("_m") < _ntz(lo)) | (F.col("_m") >= _ntz(hi)))
+    if has_files(spark, warehouse_path):
+        keys = keys.join(spark.read.parquet(warehouse_path).select(key), key, "left_anti")
+    work = f"{progress_path.rstrip('/')}_work/{uuid.uuid4().hex}"
+    keys.write.partitionBy("_m").parquet(work)
+    missing = spark.read.schema(keys.schema).parquet(work)
+    ranges: list[list] = []
+    for at, n in missing.groupBy("_m").count().orderBy("_m").collect():
+        if ranges and ranges[-1][0] is not None and ranges[-1][2] < range_rows:
+            ranges[-1][1:] = [_next_month(at), ranges[-1][2] + n]
+        else:
+            ranges.append([at, None if at is None else _next_month(at), n])
+    for done, (lo, hi, n) in enumerate(ranges):
+        if done == max_ranges:
+            return done
+        ts, m = F.col(time_col), F.col("_m")
+        inside = (ts.isNull(), m.isNull()) if lo is None else ((ts >= _ntz(lo)) & (ts < _ntz(hi)), (m >= _ntz(lo)) & (m < _ntz(hi)))
+        rows = source.where(inside[0]).join(missing.where(inside[1]).select(key), key, "left_semi")
+        rows.write.mode("append").parquet(warehouse_path)
+        spark.createDataFrame([(lo, hi, n)], PROGRESS).coalesce(1).write.mode("append").parquet(progress_path)
+    folder, fs = hadoop_path(spark, work)
+    fs.delete(folder, True)
+    return len(ranges)
+
+
+def _ntz(at: datetime) -> Column:
+    return F.lit(str(at)).cast("timestamp_ntz")
+
+
+def _next_month(at: datetime) -> datetime:
+    return (at.replace(day=1) + timedelta(days=32)).replace(day=1)
+
+
 def ingestion_log_row(batch_id, rows_generated: DataFrame, rows_operational: int, rows_warehouse: int,
                       warehouse_enabled: bool, created_at: str, message: str = "") -> DataFrame:
     """One audit row; status success when every row reached the

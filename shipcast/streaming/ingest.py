@@ -5,8 +5,8 @@ New order files are read as a stream; each micro-batch, in
 
 1. keeps the first row per order id inside the batch (P8);
 2. inserts into the operational store only ids it does not hold yet (S5:
-   anti join against the store, exact and unbounded — no watermark, so late
-   rows are never dropped);
+   exact and unbounded — no watermark, so late rows are never dropped; the
+   key index of the store is asked, so a batch opens few of its buckets);
 3. appends the batch to the warehouse raw table (S6);
 4. writes one audit row (S10): "warning" if the warehouse did not take all.
 
@@ -15,6 +15,11 @@ id and the epoch and written with dynamic partition overwrite, so a retried
 epoch replaces its own rows and counts, and another stream (or the same files
 under a new checkpoint folder) never does. Progress lives in the checkpoint
 folder, which must be on shared storage on a cluster.
+
+``watermark`` opts in to the other form (R2): keyed state in the stream drops
+an id that was seen within the delay and every row that comes later than the
+delay, and the store is not asked. State is bounded by the delay, but a late
+row is lost, which the exact form never does.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shipcast.operators.clean import dedupe_orders
+from shipcast.sources.keyed import KeyIndex
 from shipcast.sources.layers import hadoop_path, has_files
 
 
@@ -56,19 +62,17 @@ def _replace(rows: DataFrame, stream: str, epoch_id: int, path: str) -> int:
 
 
 def ingest_batch(batch: DataFrame, epoch_id: int, ops_path: str, raw_path: str, log_path: str,
-                 warehouse_enabled: bool = True, stream: str = "stream") -> None:
+                 warehouse_enabled: bool = True, stream: str = "stream", ask_store: bool = True) -> None:
     spark = batch.sparkSession
     batch = batch.persist()
     try:
         rows_generated = batch.count()
         new = dedupe_orders(batch)
-        if has_files(spark, ops_path):
-            stored = spark.read.parquet(ops_path)
-            others = stored.where(~((F.col("_stream") == stream) & (F.col("_epoch") == epoch_id)))
-            new = new.join(others.select("order_id"), "order_id", "left_anti")
-        # Written from a saved copy: the plan reads the table that it adds to.
+        if ask_store:
+            index = KeyIndex(spark, ops_path)
+            index.sync(skip=f"_stream={stream}/_epoch={epoch_id}/")
+            new = index.missing(new)
         new = new.persist()
-        new.count()
         rows_ops = _replace(new, stream, epoch_id, ops_path)
         new.unpersist()
 
@@ -90,17 +94,29 @@ def ingest_batch(batch: DataFrame, epoch_id: int, ops_path: str, raw_path: str,
         batch.unpersist()
 
 
+def within_watermark(rows: DataFrame, delay: str, event_time: str = "order_timestamp", key: str = "order_id") -> DataFrame:
+    """R2, opt-in: rows of a stream without those whose key was seen within
+    ``delay`` of event time, and without those later than the watermark. Rows
+    without a time never expire and are compared with each other for ever."""
+    timed = rows.withColumn("_event", F.col(event_time).cast("timestamp"))
+    return timed.withWatermark("_event", delay).dropDuplicatesWithinWatermark([key]).drop("_event")
+
+
 def stream_ingest(spark: SparkSession, source_dir: str, schema, ops_path: str, raw_path: str, log_path: str,
                   checkpoint: str, max_files_per_trigger: int | None = None,
-                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the ingest stream over Parquet files in ``source_dir``."""
+                  available_now: bool = True, processing_time: str | None = None,
+                  watermark: str | None = None, event_time: str = "order_timestamp") -> StreamingQuery:
+    """Start the ingest stream over Parquet files in ``source_dir``.
+    ``watermark``: a delay such as "2 days" of ``event_time`` (see above)."""
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.load(source_dir)
+    if watermark:
+        src = within_watermark(src, watermark, event_time)
     own = stream_id(spark, checkpoint)
     w = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, eid: ingest_batch(df, eid, ops_path, raw_path, log_path, stream=own)))
+         .foreachBatch(lambda df, eid: ingest_batch(df, eid, ops_path, raw_path, log_path, stream=own, ask_store=not watermark)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "240 minutes")
     return w.start()
 

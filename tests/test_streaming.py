@@ -97,3 +97,57 @@ def test_budget_stream_matches_batch(spark, sf_small):
                            os.path.join(root, "ckpt")).awaitTermination()
     got = spark.read.parquet(os.path.join(root, "out")).count()
     assert got == budget_breaches(msgs).count() == ev.where(F.col("value") >= 50.0).count()
+
+
+def _orders(spark, folder, name, rows):
+    df = spark.createDataFrame(rows, "order_id string, order_timestamp string, delay_risk_label long").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
+    df.coalesce(1).write.mode("append").parquet(os.path.join(folder, name))
+    return df.schema
+
+
+def test_watermark_form(spark):
+    """R2, opt-in: a replay within the delay is dropped by the state, a row
+    later than the watermark is dropped whether it is new or not; the state
+    outlives a restart."""
+    root = tempfile.mkdtemp(prefix="shipcast-mark-")
+    ops, raw, log, ckpt = (os.path.join(root, n) for n in ("ops", "raw", "log", "ckpt"))
+    src = os.path.join(root, "in")
+
+    def step(k, rows):
+        schema = _orders(spark, src, f"f{k}", rows)
+        stream_ingest(spark, os.path.join(src, "*"), schema, ops, raw, log, ckpt, watermark="2 days").awaitTermination()
+        return sorted(r[0] for r in spark.read.parquet(ops).select("order_id").collect())
+
+    assert step(0, [("a", "2001-01-10 00:00:00", 0), ("a", "2001-01-10 01:00:00", 1), ("b", "2001-01-10 02:00:00", 0)]) == ["a", "b"]
+    # after a restart: replays within the delay, and a row that sets the watermark to the 10th
+    assert step(1, [("a", "2001-01-10 03:00:00", 0), ("b", "2001-01-10 02:00:00", 0), ("c", "2001-01-12 02:30:00", 0)]) == ["a", "b", "c"]
+    # later than the watermark: lost, also the new order d; e is within the delay
+    assert step(2, [("a", "2001-01-09 00:00:00", 0), ("d", "2001-01-09 12:00:00", 0), ("e", "2001-01-11 00:00:00", 0)]) == ["a", "b", "c", "e"]
+    assert step(3, [("c", "2001-01-13 00:00:00", 0), ("e", "2001-01-11 01:00:00", 0), ("f", "2001-01-20 00:00:00", 0)]) == ["a", "b", "c", "e", "f"]
+
+
+def test_exact_form_takes_late_rows(spark):
+    root = tempfile.mkdtemp(prefix="shipcast-late-")
+    ops, raw, log, ckpt = (os.path.join(root, n) for n in ("ops", "raw", "log", "ckpt"))
+    src = os.path.join(root, "in")
+    for k, rows in enumerate(([("a", "2001-01-10 00:00:00", 0), ("c", "2001-02-12 00:00:00", 0)], [("d", "2000-01-01 00:00:00", 0), ("a", "2001-03-01 00:00:00", 0)])):
+        schema = _orders(spark, src, f"f{k}", rows)
+        stream_ingest(spark, os.path.join(src, "*"), schema, ops, raw, log, ckpt).awaitTermination()
+    assert sorted(r[0] for r in spark.read.parquet(ops).select("order_id").collect()) == ["a", "c", "d"]
+
+
+def test_score_stream_keeps_the_quota_of_a_day(spark, sf_small):
+    root = tempfile.mkdtemp(prefix="shipcast-quota-")
+    src, preds = os.path.join(root, "gold"), os.path.join(root, "preds")
+    orders = dedupe_orders(raw_orders(spark, sf_small)).persist()
+    schema = orders.schema
+    args = dict(predictions_path=preds, checkpoint=os.path.join(root, "ckpt"), scorer=rule_score, prob_col="rule_probability", daily_limit=250)
+    stored = lambda: {str(r["d"]): r["count"] for r in spark.read.parquet(preds).groupBy(F.to_date("prediction_timestamp").alias("d")).count().collect()}
+    for k, day in enumerate(["2001-08-02 01:00:00", "2001-08-02 05:00:00", "2001-08-03 01:00:00"]):  # each call is a restart
+        for part in range(3):
+            orders.where(F.pmod(F.xxhash64("order_id"), F.lit(9)) == 3 * k + part).coalesce(1).write.parquet(os.path.join(src, f"f{k}{part}"))
+        stream_score(spark, os.path.join(src, "*"), schema, run_start=day, max_files_per_trigger=1, **args).awaitTermination()
+        assert max(stored().values()) <= 250
+    assert stored() == {"2001-08-02": 250, "2001-08-03": 250}
+    p = spark.read.parquet(preds)
+    assert p.count() == p.select("order_id").distinct().count()
