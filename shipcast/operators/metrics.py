@@ -94,13 +94,36 @@ def delta_direction(delta_col: str) -> F.Column:
     return F.when(c < 0, "down").when(c > 0, "up").otherwise("neutral")
 
 
+#: A page that ends within so many rows is taken from the top; a later one is looked up first.
+TOP_ROWS = 10_000
+
+
 def latest_orders(orders: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
-    """Newest orders page (order_id breaks ties); limit 1–1000, offset 0 or
-    more; other values are an error."""
+    """Newest orders page (order_id breaks ties, rows without a time come
+    last); limit 1–1000, offset 0 or more; other values are an error.
+
+    A deep page is found by counts: of each year, of the hours of the year in
+    which it begins, and so on to the second. Only rows from that second back
+    are ordered, so no task holds the rows that the offset skips."""
     if not 1 <= limit <= 1000 or offset < 0:
         raise ValueError("limit must be between 1 and 1000, offset not negative")
-    out = orders.orderBy(F.col("order_timestamp").desc(), F.col("order_id"))
-    return out.offset(int(offset)).limit(limit) if offset else out.limit(limit)
+    ts, rows, left = F.col("order_timestamp"), orders, int(offset)
+    if offset + limit > TOP_ROWS:
+        inside = orders.where(ts.isNotNull())
+        for unit in ("year", "hour", "minute", "second"):
+            start = None
+            for t, n in inside.groupBy(F.date_trunc(unit, ts).alias("t")).count().orderBy(F.desc("t")).collect():
+                if n > left:
+                    start = t
+                    break
+                left -= n
+            if start is None:  # the page lies among the rows without a time
+                rows = orders.where(ts.isNull())
+                break
+            inside = inside.where(F.date_trunc(unit, ts) == F.lit(start))
+            rows = orders.where((F.date_trunc(unit, ts) <= F.lit(start)) | ts.isNull())
+    out = rows.orderBy(ts.desc(), F.col("order_id"))
+    return out.offset(left).limit(limit) if left else out.limit(limit)
 
 
 def cap_rows(orders: DataFrame, max_rows: int | None = 500_000, key: str = "order_id") -> DataFrame:

@@ -113,12 +113,12 @@ def remaining_quota(scored: DataFrame, batch_size: int = K.BATCH_SIZE,
 def latest_batch_performance(predictions: DataFrame, features: DataFrame, before: str) -> DataFrame:
     """Metrics of the newest prediction batch strictly
     before ``before``, labels from the feature table (rows with a NULL label
-    dropped). The batch timestamp is one scalar, so the semi join is a
-    broadcast of a one-row table; duplicate feature rows multiply as in an
-    inner join."""
+    dropped). The batch's time is looked up first (one value, from the time
+    column alone) and then filters the scan of the predictions; duplicate
+    feature rows multiply as in an inner join."""
     latest = (predictions.where(F.col("prediction_timestamp") < F.lit(before).cast("timestamp_ntz"))
-              .agg(F.max("prediction_timestamp").alias("prediction_timestamp")))
-    batch = predictions.join(F.broadcast(latest), "prediction_timestamp")
+              .agg(F.max("prediction_timestamp")).first()[0])
+    batch = predictions.where(F.col("prediction_timestamp") == F.lit(None if latest is None else str(latest)).cast("timestamp_ntz"))
     j = batch.join(features.select("order_id", "delay_risk_label"), "order_id")
     j = j.where(F.col("delay_risk_label").isNotNull())
     m = prediction_metrics(j, "delay_risk_label", "delay_prediction", "delay_probability", "risk_band",

@@ -15,7 +15,9 @@ from shipcast.operators import quality as Q
 from shipcast.operators.evaluate import class_weights
 from shipcast.operators.features import (align_features, baseline_features, ml_ready_decisions)
 from shipcast.operators.hypotheses import hypothesis_tests
-from shipcast.plans.catalog import RAW_DOUBLES, TRAINING_DOUBLES, _q, ops_orders
+from shipcast.operators.monitor import rule_score
+from shipcast.operators.preprocess import fit as fit_preprocessing
+from shipcast.plans.catalog import INGEST_CUTOFF, RAW_DOUBLES, TRAINING_DOUBLES, _q, ops_orders
 from shipcast.plans.medallion import silver_orders, training_table
 from shipcast.registry import register, rnd, rounded, sql_rounded
 from shipcast.sources.orders import RAW_COLUMNS
@@ -322,3 +324,68 @@ def q_stratified_split(spark: SparkSession, sf: str) -> DataFrame:
     from shipcast.plans.training import stratified_split
     ops = ops_orders(spark, sf).select("order_id", "delay_risk_label")
     return stratified_split(ops, "delay_risk_label", "order_id", 0.2, 42)
+
+
+# -- M2, M9 -------------------------------------------------------------------------
+
+NUMBERS, TEXTS = ["distance_km", "order_value", "order_weight_kg", "carrier_base_delay_rate"], ["carrier", "traffic_condition", "product_category"]
+
+
+def _preprocessed_sql() -> str:
+    fills = ", ".join([f"median({c}) AS {c}" for c in NUMBERS])
+    scales = ", ".join(f"nullif(stddev_pop(coalesce(t.{c}, m.{c})), 0) AS {c}" for c in NUMBERS)
+    codes = "".join(f""",
+code_{c} AS (SELECT {c}, CAST(row_number() OVER (ORDER BY {c}) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT {c} FROM t WHERE {c} IS NOT NULL) x),
+mode_{c} AS (SELECT {c} FROM (SELECT {c}, count(*) AS n FROM t WHERE {c} IS NOT NULL GROUP BY {c}) x ORDER BY n DESC, {c} LIMIT 1)""" for c in TEXTS)
+    scaled = ", ".join(f"{rnd(f'coalesce(o.{c}, m.{c}) / coalesce(s.{c}, 1)')} AS {c}_scaled" for c in NUMBERS)
+    coded = ", ".join(f"coalesce((SELECT code FROM code_{c} k WHERE k.{c} = coalesce(o.{c}, (SELECT {c} FROM mode_{c}))), -1) AS {c}_code" for c in TEXTS)
+    ones = " + ".join(f"CASE WHEN {c}_code >= 0 THEN 1 ELSE 0 END" for c in TEXTS)
+    return f""",  -- the fitted tables are further common table expressions
+t AS (SELECT * FROM ops WHERE order_timestamp < TIMESTAMP '{INGEST_CUTOFF}'),
+m AS (SELECT {fills} FROM t),
+s AS (SELECT {scales} FROM t, m){codes},
+p AS (SELECT order_id, {scaled}, {coded} FROM ops o, m, s)
+SELECT *, {ones} AS indicators, {len(NUMBERS)} + {" + ".join(f"(SELECT count(*) FROM code_{c})" for c in TEXTS)} AS n_features FROM p"""
+
+
+@register("preprocessed_features", lambda: O.with_ctes(["ops"], _preprocessed_sql()))
+def q_preprocessed_features(spark: SparkSession, sf: str) -> DataFrame:
+    """M2: exact medians, scales and category numbers, fitted on the orders
+    before the cutoff and applied to all; how many indicators are set, and the
+    length of the feature vector."""
+    ops = ops_orders(spark, sf)
+    own = fit_preprocessing(ops.where(F.col("order_timestamp") < F.lit(INGEST_CUTOFF).cast("timestamp_ntz")), NUMBERS, TEXTS)
+    out = own.apply(ops, ["order_id"])
+    ones = F.aggregate(F.slice("features", len(NUMBERS) + 1, 100_000), F.lit(0.0), lambda n, x: n + x).cast("int")
+    return rounded(out.withColumn("indicators", ones).withColumn("n_features", F.size("features").cast("long")).drop("features"))
+
+
+IMPORTANT = ["distance_km", "weather_condition", "traffic_condition", "carrier_base_delay_rate"]
+
+
+def _importance_sql() -> str:
+    ways = ", ".join(f"('{f}', {r})" for f in IMPORTANT for r in range(2))
+    taken = ", ".join(f"CASE WHEN v.f = '{c}' THEN g.{c} ELSE b.{c} END AS {c}" for c in IMPORTANT)
+    return O.with_ctes(["ops"], f"""
+SELECT feature, {rnd("avg(base - ap)")} AS importance_mean, {rnd("stddev_pop(base - ap)")} AS importance_std FROM (
+  WITH b AS (SELECT *, row_number() OVER (ORDER BY md5(order_id || '|42')) AS i FROM ops),
+  v(f, r) AS (VALUES {ways}),
+  g AS (SELECT f, r, {", ".join(IMPORTANT)}, row_number() OVER (PARTITION BY f, r ORDER BY md5(order_id || '|42|' || f || '|' || r)) AS i FROM ops, v),
+  p AS (SELECT v.f, v.r, b.* REPLACE ({taken}) FROM b JOIN g ON g.i = b.i JOIN v ON v.f = g.f AND v.r = g.r),
+  s AS (SELECT f, r, delay_risk_label AS y, {O.rule_probability_sql()} AS score FROM p
+        UNION ALL SELECT '', 0, delay_risk_label, {O.rule_probability_sql()} FROM ops),
+  c AS (SELECT f, r, score, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, count(*) AS n FROM s GROUP BY f, r, score),
+  u AS (SELECT *, sum(pos) OVER w AS tp, sum(n) OVER w AS k FROM c WINDOW w AS (PARTITION BY f, r ORDER BY score DESC)),
+  a AS (SELECT f, r, sum(pos * (tp / CAST(k AS DOUBLE))) / sum(pos) AS ap FROM u GROUP BY f, r)
+  SELECT x.f AS feature, x.ap, y.ap AS base FROM a x, a y WHERE x.f <> '' AND y.f = '') z GROUP BY feature""")
+
+
+@register("permutation_importance", _importance_sql)
+def q_permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """M9 over all operational orders and the rule scorer: two seeded
+    permutations of each of four features."""
+    from shipcast.plans.training import importance_of
+
+    ops = ops_orders(spark, sf)
+    score = lambda df: rule_score(df).withColumnRenamed("rule_probability", "score")
+    return rounded(importance_of(ops, score, IMPORTANT, "delay_risk_label", repeats=2, seed=42))
