@@ -17,9 +17,11 @@ from shipcast.operators.features import (align_features, baseline_features, ml_r
 from shipcast.operators.hypotheses import hypothesis_tests
 from shipcast.operators.monitor import rule_score
 from shipcast.operators.preprocess import fit as fit_preprocessing
+from shipcast.operators.sketches import approx_profile, month_sketches
 from shipcast.plans.catalog import INGEST_CUTOFF, RAW_DOUBLES, TRAINING_DOUBLES, _q, ops_orders
 from shipcast.plans.medallion import silver_orders, training_table
 from shipcast.registry import register, rnd, rounded, sql_rounded
+from shipcast.sources.layers import layer
 from shipcast.sources.orders import RAW_COLUMNS
 
 R = rnd
@@ -160,6 +162,14 @@ def q_column_audit(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(Q.column_audit(silver_orders(spark, sf)))
 
 
+@register("approx_profile")
+def q_approx_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """A11 + A12, approximate: distinct values and quartiles of every silver
+    column, merged from the stored sketches of its months."""
+    stored = layer(spark, sf, "sketches", lambda: month_sketches(silver_orders(spark, sf)))
+    return approx_profile(stored)
+
+
 def _numeric_summary_sql() -> str:
     parts = []
     for c in SILVER_NUMERIC:
