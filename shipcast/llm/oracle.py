@@ -51,28 +51,41 @@ _RULES = ", ".join(f"('{said}', '{rule}', '{rule.partition('/')[0]}', '/{rule.pa
 _LONG = ", ".join(f"'{s}'" for s in url_filters.LONG_SUFFIXES)
 
 
-def _strength(level: str) -> str:
-    """Prior strength of a level (n, bad, m), as in ``url_filters``."""
-    spread = "m * (1 - m)"
-    over, room = f"sum(n * (bad / n - m) * (bad / n - m) - {spread})", f"sum({spread} * (n - 1))"
-    return f"(SELECT 1 / least(greatest(CASE WHEN coalesce({room}, 0) <> 0 THEN {over} / {room} ELSE {_P.rho[0]} END, {_P.rho[0]}), {_P.rho[1]}) - 1 FROM {level})"
+def _rho(level: str) -> str:
+    """Correlation within a level (n, bad, m), as in ``url_filters``."""
+    spread, weight = "m * (1 - m)", f"(SELECT {_P.guess[1]} * whole * (1 - whole) FROM total)"
+    over, room = f"coalesce(sum(n * (bad / n - m) * (bad / n - m) - {spread}), 0)", f"coalesce(sum({spread} * (n - 1)), 0)"
+    return f"(SELECT least(greatest(({over} + {_P.guess[0]} * any_value(w)) / ({room} + any_value(w)), {_P.rho[0]}), {_P.rho[1]}) FROM {level}, (SELECT {weight} AS w))"
+
+
+def _post(level: str) -> str:
+    """a and b of the posterior of a level's rows (k: its prior's weight)."""
+    return f"(SELECT *, bad + k * m AS a, n - bad + k * (1 - m) AS b FROM (SELECT *, 1 / (1 - (1 - {_rho(level)}) * (1 - 1 / (sure + 1))) - 1 AS k FROM {level}))"
 
 
 OP3 = f"""
-WITH own AS (SELECT row_number() OVER () AS rid, page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_UPPER}, {_LOWER}), '') AS host,
+WITH RECURSIVE own AS (SELECT row_number() OVER () AS rid, page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_UPPER}, {_LOWER}), '') AS host,
                     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 marked AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
 named AS (SELECT host, bad, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS part FROM own JOIN marked USING (page_id) WHERE host <> ''),
 hosts AS (SELECT host, part, array_to_string(part[-2:], '.') IN ({_LONG}) AS two, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM named GROUP BY host, part),
-hosted AS (SELECT host, n, bad, array_to_string(CASE WHEN two THEN part[-3:] ELSE part[-2:] END, '.') AS domain,
-                  array_to_string(CASE WHEN two THEN part[-2:] ELSE part[-1:] END, '.') AS suffix FROM hosts),
-top AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM hosted) AS m FROM hosted GROUP BY suffix),
-k1 AS (SELECT {_strength("top")} AS k), top_mean AS (SELECT suffix, (bad + k * m) / (n + k) AS m FROM top, k1),
-middle AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM hosted JOIN top_mean USING (suffix) GROUP BY domain, suffix),
-k2 AS (SELECT {_strength("middle")} AS k), middle_mean AS (SELECT domain, (bad + k * m) / (n + k) AS m FROM middle, k2),
-low AS (SELECT host, n, bad, m FROM hosted JOIN middle_mean USING (domain)),
-k3 AS (SELECT {_strength("low")} AS k), mean AS (SELECT host, n, k, (bad + k * m) / (n + k) AS mean FROM low, k3),
-blocked AS (SELECT host FROM mean WHERE mean - {_P.z} * sqrt(mean * (1 - mean) / (n + k + 1)) >= {_P.limit}),
+hosted AS (SELECT host, n, bad, array_to_string(CASE WHEN ip THEN part WHEN two THEN part[-3:] ELSE part[-2:] END, '.') AS domain,
+                  CASE WHEN ip THEN 'ip' ELSE array_to_string(CASE WHEN two THEN part[-2:] ELSE part[-1:] END, '.') END AS suffix
+           FROM (SELECT *, regexp_full_match(array_to_string(part, '.'), '[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}|\\[.*\\]') AS ip FROM hosts)),
+total AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS whole, coalesce(sum(n), 0) + 2 AS all_n FROM hosted),
+top AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT whole FROM total) AS m, (SELECT all_n FROM total) AS sure FROM hosted GROUP BY suffix),
+top_mean AS (SELECT suffix, a / (a + b) AS m, a + b AS sure FROM {_post("top")}),
+middle AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m, any_value(sure) AS sure FROM hosted JOIN top_mean USING (suffix) GROUP BY domain, suffix),
+middle_mean AS (SELECT domain, a / (a + b) AS m, a + b AS sure FROM {_post("middle")}),
+low AS (SELECT host, n, bad, m, sure FROM hosted JOIN middle_mean USING (domain)),
+post AS (SELECT host, bad, a * least(1, {url_filters.MOST} / (a + b)) AS a, b * least(1, {url_filters.MOST} / (a + b)) AS b FROM {_post("low")}),
+side AS (SELECT host, bad, {_P.limit} >= (a + 1) / (a + b + 2) AS swap, CASE WHEN swap THEN b ELSE a END AS p, CASE WHEN swap THEN a ELSE b END AS q, CASE WHEN swap THEN 1 - {_P.limit} ELSE {_P.limit} END AS x FROM post),
+cf AS (SELECT *, 0 AS j, 1.0::DOUBLE AS c, 1 / (1 - (p + q) * x / (p + 1)) AS d, 1 / (1 - (p + q) * x / (p + 1)) AS h FROM side
+  UNION ALL SELECT host, bad, swap, p, q, x, j + 1, 1 + t / c, 1 / (1 + t * d), h * (1 + t / c) / (1 + t * d) FROM (
+    SELECT *, CASE WHEN j % 2 = 0 THEN (j // 2 + 1) * (q - (j // 2 + 1)) * x / ((p + j + 1) * (p + j + 2)) ELSE -(p + j // 2 + 1) * (p + q + j // 2 + 1) * x / ((p + j + 1) * (p + j + 2)) END AS t
+    FROM cf WHERE j < {2 * url_filters.STEPS})),
+blocked AS (SELECT host FROM (SELECT host, bad, swap, exp(lgamma(p + q) - lgamma(p) - lgamma(q) + p * ln(x) + q * ln(1 - x)) / p * h AS v FROM cf WHERE j = {2 * url_filters.STEPS})
+            WHERE bad > 0 AND CASE WHEN swap THEN 1 - v ELSE v END <= {_P.alpha}),
 rules(said, rule, own_host, own_path) AS (VALUES {_RULES}),
 fits AS (SELECT rid, arg_max(rule, length(rule)) AS rule, arg_max(said, length(rule)) AS said
          FROM own JOIN rules ON (host = own_host OR ends_with(host, '.' || own_host)) AND starts_with(path, own_path) GROUP BY rid)

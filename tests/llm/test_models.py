@@ -230,6 +230,91 @@ def test_host_reputation(spark):
     assert means["few.spam.net"] > means["one.site.net"] > means["good.site.net"]
 
 
+def _beta_below(a, b, x):
+    """P(rate <= x) by Simpson's rule over the density, in the logit."""
+    import math
+    n, lo, hi = 40_000, -60.0, math.log(x / (1 - x))
+    norm = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    f = lambda t: math.exp(norm - a * math.log1p(math.exp(-t)) - b * (t + math.log1p(math.exp(-t)) if t > -700 else 0))
+    step = (hi - lo) / n
+    return step / 3 * sum(f(lo + k * step) * (1 if k in (0, n) else 4 if k % 2 else 2) for k in range(n + 1))
+
+
+def test_beta_distribution(spark):
+    cases = [(0.3, 0.7, 0.5), (1.0, 1.0, 0.5), (6.3, 3.7, 0.5), (2.0, 90.0, 0.5), (5200.0, 4800.0, 0.5), (9000.0, 1000.0, 0.5), (60.0, 40.0, 0.5), (0.01, 5.0, 0.5)]
+    df = spark.createDataFrame([(k, a, b) for k, (a, b, _) in enumerate(cases)], "k int, a double, b double")
+    got = {r["k"]: r for r in df.select("k", url_filters.beta_below(F.col("a"), F.col("b"), 0.5).alias("p"), url_filters.log_gamma(F.col("a")).alias("g")).collect()}
+    import math
+    for k, (a, b, x) in enumerate(cases):
+        assert got[k]["g"] == pytest.approx(math.lgamma(a), abs=1e-8)
+        if min(a, b) >= 0.3:
+            assert got[k]["p"] == pytest.approx(_beta_below(a, b, x), abs=1e-6), (a, b)
+    assert got[7]["p"] == pytest.approx(1, abs=2e-3)
+
+
+def _reputation(hosts, guess=(0.1, 20.0)):
+    """Posterior (a, b) of each host ({host: (n, bad)}), in plain Python."""
+    total, bad = sum(n for n, _ in hosts.values()), sum(b for _, b in hosts.values())
+    whole = (bad + 1) / (total + 2)
+    groups = lambda cut: {g: (sum(hosts[h][0] for h in hosts if cut(h) == g), sum(hosts[h][1] for h in hosts if cut(h) == g)) for g in {cut(h) for h in hosts}}
+    ip = lambda h: h.replace(".", "").isdigit()
+    domain, suffix = lambda h: h if ip(h) else ".".join(h.split(".")[-2:]), lambda h: "ip" if ip(h) else h.split(".")[-1]
+    mean = {g: (whole, total + 2) for g in groups(suffix)}
+    for rows, up in ((groups(suffix), lambda g: g), (groups(domain), suffix), (hosts, domain)):
+        level = {g: (n, b, *mean[up(g)]) for g, (n, b) in rows.items()}
+        weight = guess[1] * whole * (1 - whole)
+        over = sum(n * (b / n - m) ** 2 - m * (1 - m) for n, b, m, _ in level.values())
+        room = sum(m * (1 - m) * (n - 1) for n, b, m, _ in level.values())
+        rho = min(max((over + guess[0] * weight) / (room + weight), 0.001), 0.5)
+        ab = {}
+        for g, (n, b, m, sure) in level.items():
+            k = 1 / (1 - (1 - rho) * (1 - 1 / (sure + 1))) - 1
+            ab[g] = (b + k * m, n - b + k * (1 - m))
+        mean = {g: (a / (a + b), a + b) for g, (a, b) in ab.items()}
+    return ab
+
+
+def test_reputation_against_plain_python(spark):
+    hosts = {"bad.spam.net": (60, 58), "also.spam.net": (40, 37), "few.spam.net": (1, 1), "fine.spam.net": (3, 0), "good.site.net": (80, 2), "one.site.net": (1, 1), "big.com": (3000, 200),
+             "10.0.0.1": (30, 29), "11.0.0.1": (20, 0), "a.mill.org": (2, 2), "b.mill.org": (2, 2)}
+    rows = [(h, int(k < b)) for h, (n, b) in hosts.items() for k in range(n)]
+    got = {r["host"]: r for r in url_filters.host_reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
+    want = _reputation(hosts)
+    for h, (a, b) in want.items():
+        assert got[h]["mean"] == pytest.approx(a / (a + b)), h
+        assert got[h]["below"] == pytest.approx(_beta_below(a, b, 0.5), abs=1e-6), h
+    assert got["10.0.0.1"]["below"] < 0.05 < got["11.0.0.1"]["below"]
+
+
+@pytest.mark.parametrize("more", [0, 1, 500])
+def test_a_host_without_bad_pages_is_never_blocked(spark, more):
+    """Also where the table is tiny and everything else in it is bad."""
+    urls = [f"http://bad{k % 3}.spam.net/{k}" for k in range(3 + more)] + ["http://good.spam.net/"]
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(u.startswith("http://good")), 0) for k, u in enumerate(urls)], "doc_id long, quality int, toxic int")
+    got = {r["host"]: r["verdict"] for r in url_filters.judged(pages, labels).collect()}
+    assert got["good.spam.net"] == "allow" and (more < 500 or got["bad0.spam.net"] == "block")
+    none = pages.where("false")
+    assert url_filters.judged(none, labels).collect() == []
+
+
+def test_blocked_hosts_match_the_sql(spark, tmp_path):
+    import duckdb
+
+    from shipcast.llm.oracle import ORACLE
+
+    hosts = {"bad.spam.net": (60, 58), "also.spam.net": (40, 37), "few.spam.net": (1, 1), "good.site.net": (80, 2), "big.com": (300, 200), "10.0.0.1": (30, 29), "x.co.uk": (9, 9), "y.co.uk": (3, 0)}
+    urls = [(f"http://{h}/{k}", int(k >= b)) for h, (n, b) in hosts.items() for k in range(n)]
+    spark.createDataFrame([(k, u) for k, (u, _) in enumerate(urls)] + [(None, "http://bad.spam.net/"), (90_000, None)], "page_id long, url string").write.parquet(str(tmp_path / "pages"))
+    spark.createDataFrame([(k, q, 0) for k, (_, q) in enumerate(urls)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels"))
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}/*.parquet')")
+    said = sorted(map(str, con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({ORACLE['op3_url_filters']})").fetchall()))
+    got = url_filters.judged(spark.read.parquet(str(tmp_path / "pages")), spark.read.parquet(str(tmp_path / "labels"))).select("page_id", "host", "path", "rule", "verdict")
+    assert sorted(map(str, map(tuple, got.collect()))) == said and sum("block" in r for r in said) > 100
+
+
 def _luhn(x):
     d = [int(c) for c in x if c.isdigit()][::-1]
     return sum(d[0::2] + [v * 2 - 9 * (v > 4) for v in d[1::2]]) % 10 == 0
