@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shipcast.llm.common import removed, saved
+
 #: A word is a run of letters and digits of ASCII, and of all other characters.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -177,10 +178,11 @@ HITS = "n_words long, spans array<struct<a: int, b: int>>, items array<string>"
 
 def hits_column(text: Column, automaton) -> Column:
     """Struct of each text: n_words, merged hit spans of words, items found.
-    ``automaton`` is a broadcast ``Automaton``, pickled with its class."""
+    ``automaton`` is what ``_built`` made, as a broadcast."""
     @F.pandas_udf(HITS)
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = pickle.loads(automaton.value)
+        own = Automaton.__new__(Automaton)
+        own.__dict__ = pickle.loads(automaton.value)
         for texts in batches:
             rows = []
             for t in texts:
@@ -198,24 +200,43 @@ def hits_column(text: Column, automaton) -> Column:
     return hits(text)
 
 
+def _built(block: DataFrame, window: int) -> bytes:
+    """The automaton of a block of items, built in a task; what comes back is
+    bounded by the words of a block."""
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items = {(name, text) for frame in batches for name, text in zip(frame["name"], frame["text"])}
+        own = Automaton([(name, words_of(text)) for name, text in sorted(items)], window)
+        yield pd.DataFrame({"automaton": [pickle.dumps(own.__dict__)]})
+
+    made = block.coalesce(1).mapInPandas(build, "automaton binary").first()
+    return bytes(made[0]) if made else pickle.dumps(Automaton([], window).__dict__)  # no partition at all
+
+
 def with_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with a further column ``_hits`` (n_words, spans, items).
 
-    One pass over the documents for each block of items; the spans of the
-    blocks are put together. Null and empty texts have no words; items
-    without words have no windows; null item ids count as the empty id. An
-    empty benchmark hits nothing."""
-    spark = docs.sparkSession
-    columns = []
-    for block in _blocks(benchmark, block_words):
-        items = sorted({(r["name"], r["text"]) for r in block.toLocalIterator()})
-        held = spark.sparkContext.broadcast(cloudpickle.dumps(Automaton([(name, words_of(text)) for name, text in items], window)))
-        columns.append(hits_column(F.col("text"), held))
-    if len(columns) == 1:
-        return docs.withColumn("_hits", columns[0])
-    parts = docs.withColumn("_parts", F.array(*columns))
-    return parts.withColumn("_hits", F.struct(F.col("_parts")[0]["n_words"].alias("n_words"), merged_spans(F.flatten(F.col("_parts")["spans"])).alias("spans"),
-                                              F.array_sort(F.array_distinct(F.flatten(F.col("_parts")["items"]))).alias("items"))).drop("_parts")
+    One pass over the documents for each block of items, each with the one
+    automaton of its block; between passes the documents and the hits so far
+    are a saved table. Null and empty texts have no words; items without words
+    have no windows; null item ids count as the empty id. An empty benchmark
+    hits nothing. Columns named ``_hits`` or ``_more`` are taken."""
+    spark, out = docs.sparkSession, docs
+    blocks = _blocks(benchmark, block_words)
+    for k, block in enumerate(blocks):
+        held = spark.sparkContext.broadcast(_built(block, window))
+        if not k:
+            out = out.withColumn("_hits", hits_column(F.col("text"), held))
+        else:
+            both = out.withColumn("_more", hits_column(F.col("text"), held))
+            spans, items = (F.concat(F.col("_hits")[c], F.col("_more")[c]) for c in ("spans", "items"))
+            out = both.withColumn("_hits", F.struct(F.col("_hits")["n_words"].alias("n_words"), merged_spans(spans).alias("spans"), F.array_sort(F.array_distinct(items)).alias("items"))).drop("_more")
+        if k < len(blocks) - 1:
+            now = saved(out, "hits")
+            held.destroy()
+            if k:
+                removed(before)
+            out = before = now
+    return out
 
 
 def merged_spans(spans: Column) -> Column:
