@@ -176,10 +176,22 @@ def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
 HITS = "n_words long, spans array<struct<a: int, b: int>>, items array<string>"
 
 
-def hits_column(text: Column, automaton) -> Column:
-    """Struct of each text: n_words, merged hit spans of words, items found.
+def without(text: str, spans: list) -> str:
+    """The text without spans [a, b) of its words, from the first character of
+    a span's first word to the last of its last."""
+    at = [m.span() for m in _word.finditer(text.translate(_lower))]  # as long as the text
+    for a, b in reversed(spans):
+        text = text[:at[a][0]] + text[at[b - 1][1]:]
+    return text
+
+
+def hits_column(text: Column, automaton, cut: bool = False) -> Column:
+    """Struct of each text: n_words, merged hit spans of words, items found;
+    with ``cut`` also ``kept``, the text without its spans where it has some.
     ``automaton`` is what ``_built`` made, as a broadcast."""
-    @F.pandas_udf(HITS)
+    columns = ["n_words", "spans", "items"] + ["kept"] * cut
+
+    @F.pandas_udf(HITS + ", kept string" * cut)
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Automaton.__new__(Automaton)
         own.__dict__ = pickle.loads(automaton.value)
@@ -194,10 +206,12 @@ def hits_column(text: Column, automaton) -> Column:
                         merged[-1][1] = max(b, merged[-1][1])
                     else:
                         merged.append([a, b])
-                rows.append((len(words), [{"a": a, "b": b} for a, b in merged], sorted(names)))
-            yield pd.DataFrame(rows, columns=["n_words", "spans", "items"])
+                row = (len(words), [{"a": a, "b": b} for a, b in merged], sorted(names))
+                rows.append((*row, without(t, merged) if merged else None) if cut else row)
+            yield pd.DataFrame(rows, columns=columns)
 
-    return hits(text)
+    # Else a filter on the hits would be pushed below them and find them twice.
+    return hits.asNondeterministic()(text)
 
 
 def _built(block: DataFrame, window: int) -> bytes:
@@ -212,8 +226,9 @@ def _built(block: DataFrame, window: int) -> bytes:
     return bytes(made[0]) if made else pickle.dumps(Automaton([], window).__dict__)  # no partition at all
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with a further column ``_hits`` (n_words, spans, items).
+def with_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, cut: bool = False) -> DataFrame:
+    """``docs`` with a further column ``_hits`` (n_words, spans, items; with
+    ``cut`` and one block of items also ``kept``).
 
     One pass over the documents for each block of items, each with the one
     automaton of its block; between passes the documents and the hits so far
@@ -225,7 +240,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     for k, block in enumerate(blocks):
         held = spark.sparkContext.broadcast(_built(block, window))
         if not k:
-            out = out.withColumn("_hits", hits_column(F.col("text"), held))
+            out = out.withColumn("_hits", hits_column(F.col("text"), held, cut and len(blocks) == 1))
         else:
             both = out.withColumn("_more", hits_column(F.col("text"), held))
             spans, items = (F.concat(F.col("_hits")[c], F.col("_more")[c]) for c in ("spans", "items"))
@@ -260,27 +275,24 @@ def is_contaminated(hit: Column, words: Column, coverage: float = 0.05) -> Colum
     return (hit > 0) & (hit * F.lit(round(1 / coverage)) >= words)
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = 0.05, cut_spans: bool = False) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = 0.05, cut_spans: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the documents over the coverage limit.
 
     ``cut_spans``: of the others, spans that reach the length limit are cut
     out of the text (from the first character of their first word to the last
     of their last); n_chars, if there, follows. Columns stay as they are."""
-    own = with_hits(docs, benchmark, window)
+    own = with_hits(docs, benchmark, window, block_words, cut_spans)
     kept = own.where(~is_contaminated(n_hit(F.col("_hits")), F.col("_hits")["n_words"], coverage))
     if cut_spans:
-        @F.pandas_udf("string")
-        def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-            out = []
-            for t, found in zip(texts, spans):
-                if t and len(found):
-                    at = [m.span() for m in _word.finditer(t)]
-                    for s in reversed(list(found)):
-                        t = t[:at[s["a"]][0]] + t[at[s["b"] - 1][1]:]
-                out.append(t)
-            return pd.Series(out, dtype=object)
-
-        kept = kept.withColumn("text", cut("text", "_hits.spans"))
+        if "kept" in own.schema["_hits"].dataType.names:
+            text = F.coalesce(F.col("_hits")["kept"], F.col("text"))
+        else:  # the spans of several blocks are cut together
+            @F.pandas_udf("string")
+            def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+                return pd.Series([without(t, [(s["a"], s["b"]) for s in found]) if t and len(found) else t for t, found in zip(texts, spans)], dtype=object)
+
+            text = cut("text", "_hits.spans")
+        kept = kept.withColumn("text", text)
         if "n_chars" in docs.columns:
             kept = kept.withColumn("n_chars", F.when(F.size("_hits.spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)

@@ -183,6 +183,14 @@ def test_decontaminated_documents(spark):
     assert set(same) == {2, 3} and item in same[2]["text"]
     cut = {r["doc_id"]: r for r in decontaminate.decontaminated(docs, bench, cut_spans=True).collect()}
     assert cut[2]["text"] == f"{rest} . {rest}" and cut[2]["n_chars"] == len(cut[2]["text"]) and cut[3]["n_chars"] == 5
+    odd = [(4, f"NATO É. {rest.upper()} ONE Two {item[8:]}! THE End {rest}"), (5, "A B-C d_E " * 300 + f"({item.title()})" + " x" * 300)]
+    left = {r["doc_id"]: r["text"] for r in decontaminate.decontaminated(spark.createDataFrame(odd, "doc_id long, text string"), bench, cut_spans=True).collect()}
+    assert left == {4: f"NATO É. {rest.upper()} ! THE End {rest}", 5: "A B-C d_E " * 300 + "()" + " x" * 300}
+    plan = decontaminate.decontaminated(docs, bench, cut_spans=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    more = bench.unionByName(spark.createDataFrame([(2, " ".join(f"w{k}" for k in range(10, 30)))], "item_id long, text string"))
+    one, many = ({r["doc_id"]: tuple(r) for r in decontaminate.decontaminated(docs.where("doc_id <> 3"), more, coverage=0.5, cut_spans=True, block_words=n).collect()} for n in (400_000, 10))
+    assert one == many and "w9 w30" in " ".join(one[2][1].split()) and "fourteen" not in one[2][1]
 
 
 def _measures(t):
