@@ -28,6 +28,8 @@ MAX_LABELLED = 40_000
 #: Words hashed at a time; a longer text is taken in several parts.
 WORDS = 1 << 18
 EMPTY = 1
+#: Word hashes that a task remembers, and rows whose features it hands on at a time.
+KNOWN, PIECE = 200_000, 512
 
 
 def _mix(a: np.ndarray) -> np.ndarray:
@@ -53,7 +55,7 @@ class Features:
 
     def _hashes(self, words: list[bytes]) -> np.ndarray:
         known, digest = self.known, self.digest
-        if len(known) > 500_000:
+        if len(known) > KNOWN:
             known.clear()
         for w in set(words).difference(known):
             shape = w.translate(self.table)
@@ -103,8 +105,9 @@ def train(rows: DataFrame, label_col: str = "label", text_col: str = "text", id_
     def featured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         make = Features(bits)
         for texts in batches:
-            got = [make.of(t) for t in texts]
-            yield pd.DataFrame({"i": [i for i, _ in got], "x": [x for _, x in got]})
+            for at in range(0, len(texts), PIECE):
+                got = [make.of(t) for t in texts[at:at + PIECE]]
+                yield pd.DataFrame({"i": [i.astype(np.int32) for i, _ in got], "x": [x.astype(np.float32) for _, x in got]})
 
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["h", "label"], kind="stable")
