@@ -42,7 +42,8 @@ def duck():
 
 def test_every_query_has_oracle():
     registry.load_all()
-    assert set(registry.ORACLE) == set(registry.QUERIES)
+    approximate = {"approx_profile"}  # held to its bounds in test_sketches.py
+    assert set(registry.ORACLE) == set(registry.QUERIES) - approximate
     assert len(registry.QUERIES) >= 57
     assert set(registry.QUERIES) <= set(E.queries())
 
@@ -50,7 +51,7 @@ def test_every_query_has_oracle():
 registry.load_all()
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
