@@ -5,10 +5,12 @@ at most ``limit`` bits, some segment starts a chain whose first l segments
 differ in at most ``l * limit / segments`` bits in total, for every l. The
 first two conditions of the chain (the start segment agrees up to its budget
 of zero, the next one differs in one bit at most) give the candidate keys:
-the start segment with either half of the next. Within a key, pairs are
-pruned by the rest of the chain before the Hamming check. Only the links of a
-spanning forest of each block are written, so a dense group never yields all
-its pairs, and blocks of a crowded key are bounded in rows.
+the start segment with either half of the next. A key that is crowded gets a
+second part: the bits outside it are cut into ``limit + 1`` parts, of which a
+pair within the limit shares one. Within a key, pairs are pruned by the rest
+of the chain before the Hamming check. Only the links of a spanning forest of
+each block are written, so a dense group never yields all its pairs, and
+blocks of a key that stays crowded are bounded in rows.
 """
 
 from __future__ import annotations
@@ -83,20 +85,44 @@ def candidate_keys(fp: Column, segments: int) -> Column:
     return F.array(*keys)
 
 
+def second_parts(segments: int, limit: int) -> list[list[int]]:
+    """For each kind of candidate key (start segment and half), masks of
+    ``limit + 1`` parts of the bits that the key leaves out, dealt in turn."""
+    parts, out = bounds(segments), []
+    for k, (shift, width) in enumerate(parts):
+        s, w = parts[(k + 1) % segments]
+        for a, b in ((s, w // 2), (s + w // 2, w - w // 2)):
+            taken = set(range(shift, shift + width)) | set(range(a, a + b))
+            free = [bit for bit in range(64) if bit not in taken]
+            out.append([sum(1 << bit for bit in free[j::limit + 1]) for j in range(limit + 1)])
+    return out
+
+
+def _dealt(keyed: DataFrame, limit: int, segments: int) -> DataFrame:
+    """(key, fps) with at most two blocks of fingerprints in each row, so that
+    every two fingerprints that share a key and may be linked meet in a row."""
+    crowd = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    few = (keyed.join(crowd.where(F.col("n") <= BLOCK), "key").groupBy("key").agg(F.collect_list("fp").alias("fps")))
+    signed = lambda mask: mask - (1 << 64) if mask >> 63 else mask
+    masks = F.array(*[F.array(*[F.lit(signed(m)).cast("long") for m in kind]) for kind in second_parts(segments, limit)])
+    second = F.transform(F.get(masks, F.shiftrightunsigned("key", 56).cast("int")), lambda mask, j: F.struct(j.alias("part"), F.col("fp").bitwiseAND(mask).alias("bits")))
+    finer = keyed.join(crowd.where(F.col("n") > BLOCK), "key").select("key", "fp", F.explode(second).alias("s")).select("key", "fp", "s.*")
+    name = ["key", "part", "bits"]
+    blocks = finer.groupBy(*name).agg(F.count("*").alias("n")).where("n > 1").select(*name, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    many = (finer.join(blocks, name).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .groupBy(*name, F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"))
+            .agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("key", "fps"))
+    return few.unionByName(many)
+
+
 def links(fps: DataFrame, limit: int = 4, segments: int = 5) -> DataFrame:
     """Spanning links (a, b) between distinct fingerprints (column ``fp``)
     that differ in at most ``limit`` bits: each pair within the limit is
     joined by a path of links, and every link is within the limit."""
     if limit >= segments:
         raise ValueError("a chain must start with an equal segment: limit < segments")
-    keyed = fps.select("fp", F.explode(candidate_keys(F.col("fp"), segments)).alias("key"))
-    crowd = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    dealt = (keyed.join(crowd, "key").withColumn("blocks", blocks).withColumn("own", own)
-             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .groupBy("key", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"))
-             .agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("key", "fps"))
+    dealt = _dealt(fps.select("fp", F.explode(candidate_keys(F.col("fp"), segments)).alias("key")), limit, segments)
     parts = bounds(segments)
 
     def forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -90,6 +90,40 @@ def test_links_find_every_pair_through_crowded_keys(spark):
         simhash.links(found.select(F.col("a").alias("fp")), limit=5)
 
 
+def test_second_parts_cover_the_bits_outside_a_key():
+    kinds = simhash.second_parts(5, 4)
+    assert len(kinds) == 10
+    for k, kind in enumerate(kinds):
+        assert len(kind) == 5 and all(8 <= m.bit_count() <= 10 for m in kind)
+        union = 0
+        for m in kind:
+            assert union & m == 0
+            union |= m
+        shift, width = simhash.bounds(5)[k // 2]
+        assert union & (((1 << width) - 1) << shift) == 0
+
+
+def test_a_crowded_key_is_not_compared_whole(spark, monkeypatch):
+    # 3,000 fingerprints share the first 26 bits, so some keys, and are else at random.
+    pick = random.Random(6)
+    far = {(pick.getrandbits(38) << 26) | 5 for _ in range(3000)}
+    near = {f ^ (1 << pick.randint(26, 63)) ^ (1 << pick.randint(26, 63)) for f in sorted(far)[:40]}
+    fps = [(f - (1 << 64) if f >> 63 else f,) for f in far | near]
+    monkeypatch.setattr(simhash, "BLOCK", 256)
+    frame = spark.createDataFrame(fps, "fp long")
+    keyed = frame.select("fp", F.explode(simhash.candidate_keys(F.col("fp"), 5)).alias("key"))
+    widest = keyed.groupBy("key").count().agg(F.max("count")).first()[0]
+    pairs = simhash._dealt(keyed, 4, 5).agg(F.sum(F.expr("size(fps) * (size(fps) - 1) / 2"))).first()[0]
+    assert widest == len(fps)
+    assert pairs < 0.2 * widest * (widest - 1) / 2
+    mask = (1 << 64) - 1
+    want = _components({f & mask for f, in fps})
+    root = {r["node"] & mask: r["root"] for r in simhash.components(simhash.links(frame)).collect()}
+    for f, in fps:
+        mates = {root.get(g, g) for g in want if want[g] == want[f & mask]}
+        assert len(mates) == 1
+
+
 def test_components_of_a_long_path(spark):
     pairs = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionByName(spark.createDataFrame([(100, 101), (7, 7)], "a long, b long"))
     assert sorted(map(tuple, simhash.components(pairs).collect())) == [(k, 0) for k in range(61)] + [(100, 100), (101, 100)]
