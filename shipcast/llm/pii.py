@@ -247,8 +247,10 @@ def pseudonymised(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
 
     A null text stays null, with no kinds; n_chars, if there, stays right as
     formats keep their length but for IP addresses, and is computed anew.
-    Repeated rows get the same result. Columns named like the further ones
-    are replaced."""
+    Repeated rows get the same result, and an empty table gives no rows. A
+    text is taken whole by one task, however long it is: time grows with its
+    values, memory with its length. Columns named like the further ones are
+    replaced, and those named ``_hit`` or ``_new`` are lost."""
     text = F.col("text")
     parts = docs.withColumn("_hit", F.coalesce(text.rlike(r"[0-9@]") & text.rlike(FIND), F.lit(False)))
     values = F.regexp_extract_all(text, F.lit(FIND), 0)
