@@ -46,6 +46,15 @@ def test_quality_checks_counts_null_id_once(spark):
     # 4 rows, distinct ids {a, NULL} -> 2 duplicates
     assert r["duplicate_order_id"] == 2 and r["negative_order_values"] == 1 and r["invalid_distance"] == 1
     assert r["states"] == 2 and abs(r["missing_email_pct"] - 0.25) < 1e-12
+    assert r["rows"] == 4 and r["carriers"] == 2 and r["delay_rate"] == 0.5
+    empty = quality_checks(df.where("false")).first().asDict()
+    assert empty == {"rows": 0, "duplicate_order_id": 0, "missing_email_pct": None, "negative_order_values": 0,
+                     "invalid_distance": 0, "delay_rate": None, "states": 0, "carriers": 0}
+    no_label = quality_checks(df.withColumn("delay_risk_label", F.lit(None).cast("int"))).first()
+    assert no_label["delay_rate"] is None and no_label["rows"] == 4
+    # No row is expanded for each distinct count: only the pairs of state and carrier are.
+    plan = quality_checks(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") <= 1 and "order_id" not in "".join(x for x in plan.splitlines() if "Expand" in x)
 
 
 def test_numeric_summary_matches_numpy(spark):
