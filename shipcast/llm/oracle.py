@@ -32,7 +32,9 @@ long AS (SELECT rid, p, array_to_string(words[p:p + {quality_rules.MIN_WORDS - 1
          FROM (SELECT rid, words, unnest(range(1, len(words) - {quality_rules.MIN_WORDS - 2})) AS p FROM d)),
 pair AS (SELECT a.rid, a.p, b.p AS q, a.p - row_number() OVER (PARTITION BY a.rid, b.p - a.p ORDER BY a.p) AS island
          FROM long a JOIN long b ON a.rid = b.rid AND a.w = b.w AND a.p < b.p),
-alike AS (SELECT rid, p, q, count(*) OVER (PARTITION BY rid, q - p, island ORDER BY p DESC) + {quality_rules.MIN_WORDS - 1} AS n FROM pair),
+alike AS (SELECT rid, p, q, count(*) OVER (PARTITION BY rid, q - p, island ORDER BY p DESC) + {quality_rules.MIN_WORDS - 1} AS n,
+                 p = min(p) OVER (PARTITION BY rid, q - p, island) AS whole FROM pair),
+maximal AS (SELECT rid, count(DISTINCT md5(array_to_string(words[p:p + n - 1], ' '))) AS n FROM (SELECT rid, p, n FROM alike WHERE whole GROUP BY ALL) JOIN d USING (rid) GROUP BY rid),
 longest AS (SELECT rid, p, max(n) AS n FROM (SELECT rid, p, n FROM alike UNION ALL SELECT rid, q, n FROM alike) GROUP BY rid, p),
 start AS (SELECT rid, count(*) AS n FROM (SELECT rid, p, n, lag(p) OVER w AS p0, lag(n) OVER w AS n0 FROM longest WINDOW w AS (PARTITION BY rid ORDER BY p))
           WHERE p0 IS NULL OR p0 <> p - 1 OR n0 <> n + 1 GROUP BY rid),
@@ -41,8 +43,8 @@ inside AS (SELECT rid, sum(least({quality_rules.MIN_WORDS}, coalesce(next - p, {
 m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
              (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
              coalesce(again_words.n, 0)::BIGINT AS n_repeat_words, coalesce(n_covered, 0)::BIGINT AS n_covered, coalesce(longest_repeat, 0)::BIGINT AS longest_repeat,
-             coalesce(start.n, 0)::BIGINT AS n_repeats
-      FROM d LEFT JOIN dup USING (rid) LEFT JOIN again_words USING (rid) LEFT JOIN inside USING (rid) LEFT JOIN start USING (rid)),
+             coalesce(start.n, 0)::BIGINT AS n_repeats, coalesce(maximal.n, 0)::BIGINT AS n_maximal
+      FROM d LEFT JOIN dup USING (rid) LEFT JOIN again_words USING (rid) LEFT JOIN inside USING (rid) LEFT JOIN start USING (rid) LEFT JOIN maximal USING (rid)),
 f AS (SELECT *, n_words < {quality_rules.MIN_N_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
 SELECT *, NOT base_failed AND n_covered <= {quality_rules.MAX_COVERED} * n_words AND longest_repeat <= {quality_rules.MAX_LONGEST} AS kept FROM f"""
 

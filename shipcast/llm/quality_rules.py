@@ -3,10 +3,11 @@
 The words of a batch of texts lie in one flat array whose symbols belong to
 one text each, so no repeat crosses texts. Prefix doubling sorts the suffixes
 (only those still tied take part in later rounds); the ranks of each round
-give the longest common prefix of neighbours by descending powers of two. The
-deepest common-prefix interval around a suffix is its longest repeat; the
-maximal repeats are those that no word to the left extends. The union of
-their spans and the longest repeat are limited.
+give the longest common prefix of neighbours by descending powers of two. Each
+interval of suffixes that share a prefix is a repeat that no word to the right
+extends; where the words before its suffixes differ, none to the left does
+either, and the repeat is maximal. The union of the spans of the maximal
+repeats and the longest of them are limited.
 """
 
 from __future__ import annotations
@@ -34,14 +35,43 @@ MIN_N_WORDS, MAX_REPEAT_PERCENT = 50, 50
 FLAT = 400_000
 
 
-def repeats(symbols: np.ndarray, end: np.ndarray, min_words: int = MIN_WORDS, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+def intervals(place: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common-prefix intervals of a suffix array: neighbours ``place`` (the
+    second's place, ascending) share ``common`` words. For each pair of
+    neighbours the deepest interval that holds both, and for each interval its
+    first and last pair. Every pair is pushed and popped once."""
+    own, first, last = np.zeros(len(place), dtype=np.int64), [], []
+    open_: list[tuple[int, int]] = []  # (words, number) of the intervals around the pair before, the deepest last
+    before = -1
+    for t, (k, words) in enumerate(zip(place.tolist(), common.tolist())):
+        if k != before + 1:
+            for _, i in open_:
+                last[i] = t - 1
+            open_.clear()
+        before, begun = k, t
+        while open_ and open_[-1][0] > words:
+            i = open_.pop()[1]
+            last[i], begun = t - 1, first[i]
+        if not open_ or open_[-1][0] < words:
+            open_.append((words, len(first)))
+            first.append(begun)
+            last.append(t)
+        own[t] = open_[-1][1]
+    for _, i in open_:
+        last[i] = len(place) - 1
+    return own, np.array(first, dtype=np.int64), np.array(last, dtype=np.int64)
+
+
+def repeats(symbols: np.ndarray, end: np.ndarray, min_words: int = MIN_WORDS, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each position: words of the longest repeat that starts there (0
-    below ``min_words``), and whether it lies in a ``window``-word window
-    found twice. ``end``: where the text of each position ends."""
+    below ``min_words``), whether that repeat is maximal, and whether the
+    position lies in a ``window``-word window found twice; and a position of
+    each maximal repeat. ``end``: where the text of each position ends."""
     n = len(symbols)
     longest, windowed = np.zeros(n, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)
+    whole, found = np.zeros(n, dtype=bool), np.zeros(0, dtype=np.int64)
     if not n:
-        return longest, windowed[:0].astype(bool)
+        return longest, whole, windowed[:0].astype(bool), found
     order = np.argsort(symbols, kind="stable")
     fresh = np.concatenate(([True], symbols[order][1:] != symbols[order][:-1]))
     start = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
@@ -85,7 +115,16 @@ def repeats(symbols: np.ndarray, end: np.ndarray, min_words: int = MIN_WORDS, wi
             common += same * (1 << k)
         np.maximum.at(longest, x, common)
         np.maximum.at(longest, y, common)
-    return longest, np.cumsum(windowed)[:-1] > 0
+        own, first, last = intervals(np.flatnonzero(both), common)
+        # The word before each position; only one suffix of a text has none.
+        left = np.concatenate(([-1], np.where(end[1:] == end[:-1], symbols[:-1], -1)))
+        changes = np.concatenate(([0], np.cumsum(left[x] != left[y])))
+        maximal = changes[last + 1] > changes[first]
+        for some in (x, y):
+            deepest = common == longest[some]
+            whole[some[deepest]] = maximal[own[deepest]]
+        found = x[first[maximal]]
+    return longest, whole, np.cumsum(windowed)[:-1] > 0, found
 
 
 def _windows(rank: np.ndarray, end: np.ndarray, some: np.ndarray, window: int, out: np.ndarray) -> None:
@@ -103,14 +142,14 @@ def _windows(rank: np.ndarray, end: np.ndarray, some: np.ndarray, window: int, o
     np.add.at(out, some[twice] + window, -1)
 
 
-def maximal(longest: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Starts of maximal repeats: no word to the left extends them."""
+def fresh_starts(longest: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Where a longest repeat starts that is not the rest of the one a word before."""
     before = np.concatenate(([0], longest[:-1]))
     before[begin == np.arange(len(begin))] = 0
     return np.flatnonzero((longest > 0) & (before != longest + 1))
 
 
-MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_covered long, longest_repeat long, n_repeats long"
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_covered long, longest_repeat long, n_repeats long, n_maximal long"
 _NO_WORD_CHARS = SPACE.encode() + bytes(range(0x80, 0xC0))
 
 
@@ -139,21 +178,24 @@ def _measured(texts: list, min_words: int) -> list[tuple]:
     doc = np.repeat(np.arange(len(texts)), size)
     symbols = doc * (len(number) + 1) + np.array(codes, dtype=np.int64)
     end, begin = stop[doc], (stop - size)[doc]
-    longest, windowed = repeats(symbols, end, min_words)
-    starts = maximal(longest, begin)
+    longest, whole, windowed, found = repeats(symbols, end, min_words)
+    starts = np.flatnonzero(whole)
     reach = np.zeros(len(symbols), dtype=np.int64)
     reach[starts] = starts + longest[starts]
     covered = np.maximum.accumulate(reach) > np.arange(len(reach)) if len(reach) else reach.astype(bool)
     k = len(texts)
     most = np.zeros(k, dtype=np.int64)
-    np.maximum.at(most, doc, longest)
+    np.maximum.at(most, doc[starts], longest[starts])
     count = lambda flags: np.bincount(doc, weights=flags, minlength=k).astype(np.int64)
-    number_of = np.bincount(doc[starts], minlength=k)
-    return [(int(size[i]), *plain[i], int(w), int(c), int(most[i]), int(r)) for i, (w, c, r) in enumerate(zip(count(windowed), count(covered), number_of))]
+    number_of, n_maximal = (np.bincount(doc[at], minlength=k) for at in (fresh_starts(longest, begin), found))
+    return [(int(size[i]), *plain[i], int(w), int(c), int(most[i]), int(r), int(m)) for i, (w, c, r, m) in enumerate(zip(count(windowed), count(covered), number_of, n_maximal))]
 
 
 def measures(text: Column, min_words: int = MIN_WORDS) -> Column:
-    """Struct of the counts of each text (null and empty: all zero); see MEASURES."""
+    """Struct of the counts of each text (null and empty: all zero); see
+    MEASURES. ``n_covered`` and ``longest_repeat`` are of the maximal repeats,
+    ``n_maximal`` is their number, and ``n_repeats`` that of places where a
+    longest repeat starts which is not the rest of the one before."""
     if min_words & (min_words - 1) or min_words < 4:
         raise ValueError("min_words must be a power of two, 4 at least")
 

@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,6 +228,32 @@ def test_quality_rules(spark, docs_rows, odd_rows, odd_docs, no_docs):
     assert quality_rules.judged(odd_docs).count() == len(odd_rows)
 
 
+def _maximal(w, least=8):
+    """(words covered, words of the longest, number) of the maximal repeats, by trying every run of words."""
+    n, places = len(w), collections.defaultdict(list)
+    for i in range(n):
+        for j in range(i + least, n + 1):
+            places[tuple(w[i:j])].append(i)
+    found = [(at, len(run)) for run, at in places.items() if len(at) > 1
+             and len({w[i - 1] if i else None for i in at}) > 1 and len({w[i + len(run)] if i + len(run) < n else None for i in at}) > 1]
+    return len({j for at, k in found for i in at for j in range(i, i + k)}), max((k for _, k in found), default=0), len(found)
+
+
+def test_maximal_repeats_by_every_run_of_words():
+    pick = np.random.default_rng(5)
+    texts = ["", " ", "a " * 70, "a b " * 30, "a b c d e f g h i " * 5, "x " + "a b c d e f g h " * 2 + "y " + "a b c d e f g h z " * 2]
+    for letters in (1, 2, 3, 5):
+        for _ in range(25):
+            some = [list(map(str, pick.integers(0, letters, pick.integers(1, 20)))) for _ in range(3)]
+            texts.append(" ".join(x for _ in range(pick.integers(1, 8)) for x in some[pick.integers(0, 3)]))
+    texts += [None, texts[7], "a " * 8]
+    names = [c.split()[0] for c in quality_rules.MEASURES.split(", ")]
+    at = [names.index(c) for c in ("n_covered", "longest_repeat", "n_maximal")]
+    want = [_maximal((t or "").split()) for t in texts]
+    assert [tuple(r[k] for k in at) for r in quality_rules._measured(texts, 8)] == want
+    assert sum(m > 1 for _, _, m in want) > 20
+
+
 def test_each_repeat_limit_decides_alone(spark):
     own = [f"w{k}" for k in range(600)]
     short = [w for k in range(0, 120, 12) for w in own[k:k + 12]]
