@@ -21,6 +21,7 @@ older inputs or code are deleted by ``drop_old_layers`` only.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import re
@@ -49,13 +50,21 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     while files.hasNext():
         f = files.next()
         found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
-    h.update("\n".join([str(root), *sorted(found)]).encode())
+    h.update("\n".join([str(root), *sorted(found), _source_print()]).encode())
+    return h.hexdigest()[:16]
+
+
+@functools.cache
+def _source_print() -> str:
+    """Hash of this package's source, read once in a process: the code that
+    runs is the code that was loaded."""
+    h = hashlib.sha256()
     for root, _dirs, files in sorted(os.walk(_PKG_DIR)):
         for f in sorted(files):
             if f.endswith(".py"):
                 with open(os.path.join(root, f), "rb") as fh:
                     h.update(fh.read())
-    return h.hexdigest()[:16]
+    return h.hexdigest()
 
 
 def hadoop_path(spark: SparkSession, path: str):
