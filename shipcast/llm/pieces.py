@@ -27,9 +27,9 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 NO_RANK = np.int64(2**40)
 #: Units remembered by a task; beyond it the memory is emptied.
-UNITS = 300_000
+UNITS = 200_000
 #: Symbols merged at a time, but for a longer single unit.
-FLAT = 2_000_000
+FLAT = 250_000
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
