@@ -4,6 +4,7 @@ prediction append and small JSON reports."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -15,10 +16,14 @@ from shipcast.sources.keyed import KeyIndex
 from shipcast.sources.layers import align_schema, append_rows, hadoop_path, has_files  # noqa: F401  (re-exported sinks)
 
 
-def new_rows(incoming: DataFrame, target: DataFrame, key: str = "order_id") -> DataFrame:
+def new_rows(incoming: DataFrame, target: DataFrame, key: str = "order_id",
+             derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows of ``incoming`` whose key the target lacks, first row
     per key (INSERT OR IGNORE on a primary key). The anti join shuffles only
-    the key column of the target."""
+    the key column of the target. With ``derive``, ``incoming`` are marked
+    narrow rows (see ``dedupe_orders``), and they are joined as such."""
+    if derive:
+        return dedupe_orders(incoming, key, derive=lambda rows: derive(rows.join(target.select(key), key, "left_anti")))
     return dedupe_orders(incoming, key).join(target.select(key), key, "left_anti")
 
 
@@ -50,19 +55,22 @@ def insert_through_index(incoming: DataFrame, target_path: str, key: str = "orde
 
 
 def backfill_rows(source: DataFrame, warehouse: DataFrame, key: str = "order_id",
-                  max_rows: int | None = None) -> DataFrame:
+                  max_rows: int | None = None, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Source rows missing from the warehouse, optionally the oldest
     ``max_rows`` of them (order id breaks ties, see ``cap_rows``). One read →
     anti join → append job instead of LIMIT/OFFSET paging, so no row is
-    skipped when a page fails; rows are appended, so they are not sorted."""
-    return cap_rows(source.join(warehouse.select(key), key, "left_anti"), max_rows, key)
+    skipped when a page fails; rows are appended, so they are not sorted.
+    ``derive`` makes the wide rows from joined narrow ones."""
+    rows = source.join(warehouse.select(key), key, "left_anti")
+    return cap_rows(derive(rows) if derive else rows, max_rows, key)
 
 
 PROGRESS = "lo timestamp_ntz, hi timestamp_ntz, rows bigint"
 
 
 def backfill_in_ranges(source: DataFrame, warehouse_path: str, progress_path: str, key: str = "order_id",
-                       time_col: str = "order_timestamp", range_rows: int = 50_000_000, max_ranges: int | None = None) -> int:
+                       time_col: str = "order_timestamp", range_rows: int = 50_000_000, max_ranges: int | None = None,
+                       derive: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """S7, resumable: append the source rows that the warehouse lacks, oldest
     range of months first, and note each finished range in the progress table
     (lo, hi, rows); the number of ranges done by this call.
@@ -72,7 +80,8 @@ def backfill_in_ranges(source: DataFrame, warehouse_path: str, progress_path: st
     by every call (one anti join of the narrow key columns). A range is as many
     whole months as hold ``range_rows`` missing rows, and reads only its time
     range of the source; rows without a time are a range of their own.
-    ``max_ranges`` ends a call early."""
+    ``max_ranges`` ends a call early. ``derive`` makes the wide rows from
+    narrow ones of the source, after the join."""
     spark = source.sparkSession
     month = F.date_trunc("month", F.col(time_col)).cast("timestamp_ntz")
     keys = source.select(key, month.alias("_m"))
@@ -98,7 +107,7 @@ def backfill_in_ranges(source: DataFrame, warehouse_path: str, progress_path: st
         ts, m = F.col(time_col), F.col("_m")
         inside = (ts.isNull(), m.isNull()) if lo is None else ((ts >= _ntz(lo)) & (ts < _ntz(hi)), (m >= _ntz(lo)) & (m < _ntz(hi)))
         rows = source.where(inside[0]).join(missing.where(inside[1]).select(key), key, "left_semi")
-        rows.write.mode("append").parquet(warehouse_path)
+        (derive(rows) if derive else rows).write.mode("append").parquet(warehouse_path)
         spark.createDataFrame([(lo, hi, n)], PROGRESS).coalesce(1).write.mode("append").parquet(progress_path)
     folder, fs = hadoop_path(spark, work)
     fs.delete(folder, True)
