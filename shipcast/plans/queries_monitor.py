@@ -11,7 +11,7 @@ from shipcast.functions import expr as X
 from shipcast.operators import evaluate as EV
 from shipcast.operators import monitor as MO
 from shipcast.plans.catalog import AS_OF, GOLD_DOUBLES, _q, ops_orders, performance, predictions
-from shipcast.plans.medallion import gold_table
+from shipcast.plans.medallion import gold_orders, gold_table
 from shipcast.registry import register, rnd, round_half_away, rounded, sql_rounded, xavg
 
 R = rnd
@@ -130,7 +130,7 @@ SELECT CAST(TIMESTAMP '{AS_OF}' AS DATE) AS as_of_date,
     AS scored_today,
   (SELECT count(*) FROM gold) AS source_rows"""))
 def q_scored_today(spark: SparkSession, sf: str) -> DataFrame:
-    return MO.scored_today(predictions(spark, sf, MO.lookback_start(AS_OF, 1)), gold_table(spark, sf), AS_OF)
+    return MO.scored_today(predictions(spark, sf, MO.lookback_start(AS_OF, 1)), gold_orders(spark, sf), AS_OF)
 
 
 # A daily limit that the as-of day has partly used up on the test tables (the operator's default is 300).
@@ -163,7 +163,7 @@ WHERE p.prediction_timestamp = (SELECT max(prediction_timestamp) FROM prediction
 @register("latest_batch_performance", lambda: O.with_ctes(["gold", "predictions"], _latest_batch_sql(AS_OF)))
 def q_latest_batch_performance(spark: SparkSession, sf: str) -> DataFrame:
     """J2 + J3: metrics of the newest prediction batch before the as-of time."""
-    return rounded(MO.latest_batch_performance(predictions(spark, sf), gold_table(spark, sf), AS_OF))
+    return rounded(MO.latest_batch_performance(predictions(spark, sf), gold_orders(spark, sf), AS_OF))
 
 
 # -- A18, W1, M7, M10–M13 ---------------------------------------------------------------------
@@ -366,7 +366,7 @@ def q_performance_row(spark: SparkSession, sf: str) -> DataFrame:
     recorded = MO.newest_runs(earlier, 1).withColumnRenamed("prediction_timestamp", "run_timestamp")
     previous_batch = None
     if earlier.isEmpty():
-        previous_batch = rounded(MO.latest_batch_performance(predictions(spark, sf), gold_table(spark, sf), ts))
+        previous_batch = rounded(MO.latest_batch_performance(predictions(spark, sf), gold_orders(spark, sf), ts))
     row = MO.performance_row(current, recorded, previous_batch, ts, model_version=MODEL_VERSION)
     return rounded(row)
 
