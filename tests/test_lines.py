@@ -1,13 +1,14 @@
 """The narrow order lines: marks of first lines, wide rows derived late, joins of narrow rows."""
 
 import datetime as dt
+import os
 import re
 
 from pyspark.sql import functions as F
 
 from shipcast.operators.clean import MARK, dedupe_orders
 from shipcast.plans import catalog, medallion
-from shipcast.sources import layers, sinks
+from shipcast.sources import layers, orders, sinks
 from shipcast.sources.orders import LINE_COLUMNS, RAW_COLUMNS, mark_lines, order_columns, with_order_id
 
 SCHEMA = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, o_orderdate timestamp_ntz, "
@@ -91,3 +92,12 @@ def test_refreshed_layers_equal_derived_rows(spark, sf_small):
     assert "zstd" in gold.inputFiles()[0]
     times = spark.read.parquet(silver.inputFiles()[0]).select(F.col("order_timestamp")).collect()
     assert times == sorted(times)
+
+
+def test_lines_are_sorted_by_tasks_of_bounded_size(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(orders, "TASK_LINES", 200)
+    joined = orders.joined_lines(spark, sf_small)
+    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    rows = sum(r["count"] for r in sizes)
+    assert rows == medallion.lines(spark, sf_small).count()
+    assert len(sizes) > rows / 200 / 2 and max(r["count"] for r in sizes) < 3 * 200
