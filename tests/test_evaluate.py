@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shipcast import constants as K
 from shipcast.operators import evaluate as EV
+from shipcast.operators.monitor import run_metrics
 from shipcast.operators.ordered import running_sum
 
 
@@ -93,3 +94,56 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([(1,)] * 3 + [(0,)] * 1, "delay_risk_label int")
     w = {r["label"]: r["weight"] for r in EV.class_weights(df).collect()}
     assert abs(w[1] - 4 / 6) < 1e-12 and abs(w[0] - 2.0) < 1e-12
+
+
+def _scans(df):
+    """Scans of files in the plan that ran; reused shuffles have none."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0].count("FileScan parquet")
+
+
+def _joined_once(spark, build):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return _scans(build())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_runs_are_joined_with_their_labels_once(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    scores = np.round(rng.random(400), 2)
+    rows = [(str(i), f"2001-01-0{i % 3 + 1} 01:00:00" if i % 10 else None, None if i % 50 == 7 else float(s), int(s >= 0.5), "high" if s > 0.7 else "low") for i, s in enumerate(scores)]
+    (spark.createDataFrame(rows, "order_id string, t string, delay_probability double, delay_prediction long, risk_band string")
+     .withColumn("prediction_timestamp", F.col("t").cast("timestamp_ntz")).write.parquet(str(tmp_path / "p")))
+    spark.createDataFrame([(str(i), int(rng.random() < 0.4)) for i in range(0, 400, 2)], "order_id string, delay_risk_label long").write.parquet(str(tmp_path / "l"))
+    predictions, labels = (spark.read.parquet(str(tmp_path / n)) for n in "pl")
+    assert _joined_once(spark, lambda: run_metrics(predictions, labels)) == 2
+    joined = predictions.join(labels, "order_id", "left")
+    runs = {r["prediction_timestamp"]: r.asDict() for r in run_metrics(predictions, labels).collect()}
+    assert len(runs) == 3
+    for at, run in runs.items():
+        alone = EV.prediction_metrics(joined.where(F.col("prediction_timestamp") == F.lit(str(at)).cast("timestamp_ntz")), "delay_risk_label", "delay_prediction", "delay_probability")
+        for k, v in alone.first().asDict().items():
+            assert run[k] == v or abs(run[k] - v) < 1e-12, k
+
+
+def test_candidates_are_evaluated_once(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(str(i), int(rng.random() < 0.4), float(np.round(rng.random(), 2)), float(np.round(rng.random(), 1))) for i in range(300)]
+    spark.createDataFrame(rows, "order_id string, label long, a double, b double").write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+
+    def build():
+        both = t.select("order_id", "label").join(t.select("order_id", "a", "b"), "order_id")
+        long = both.select("label", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("score")) for n in "ab"])).alias("c")).select("label", "c.*")
+        found = EV.evaluate_candidates(long).withColumn("position", F.when(F.col("name") == "a", 0).otherwise(1))
+        return EV.select_best_model(found)
+
+    assert _joined_once(spark, build) == 2
+    got = {r["name"]: r for r in build().collect()}
+    for n in "ab":
+        assert got[n]["tp"] + got[n]["fn"] == sum(r[1] for r in rows) and got[n]["fp"] + got[n]["tn"] == 300 - sum(r[1] for r in rows)
+    best = max("ab", key=lambda n: got[n]["selection_score"])
+    assert [n for n in "ab" if got[n]["is_best"]] == [best]
