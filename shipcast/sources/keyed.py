@@ -113,23 +113,29 @@ class KeyIndex:
             keys = keys.unionByName(self._read(f, "keys").select(self.key))
         buckets = max(1, -(-keys.count() // self.bucket_keys))
         base = f"buckets-{uuid.uuid4().hex}"
-        dealt = keys.distinct().withColumn("_hash", F.xxhash64(self.key)).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)).cast("int"))
-        dealt.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{base}/keys")
-        self._read(base, "keys").select("_bucket", "_hash").groupBy("_bucket").applyInPandas(_filter, FILTER).write.partitionBy("_bucket").parquet(f"{self.path}/{base}/filters")
+        # One shuffle of the keys alone; a bucket's copies meet in its task, and hashes are told again from the keys.
+        dealt = self._bucketed(keys, buckets).repartition("_bucket").distinct()
+        dealt.write.partitionBy("_bucket").parquet(f"{self.path}/{base}/keys")
+        hashes = self._read(base, "keys").select("_bucket", F.xxhash64(self.key).alias("_hash"))
+        hashes.groupBy("_bucket").applyInPandas(_filter, FILTER).write.partitionBy("_bucket").parquet(f"{self.path}/{base}/filters")
         self._write_files(base, files)
         return buckets, [base]
 
+    def _bucketed(self, keys: DataFrame, buckets: int) -> DataFrame:
+        return keys.withColumn("_bucket", F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int"))
+
     # -- questions --------------------------------------------------------------
 
     def known(self, keys: DataFrame) -> DataFrame:
         """Those of ``keys`` (a column of the key) that the covered files hold."""
         version, buckets, folders = self._state()
         self.opened, self.touched = [], []
-        asked = keys.select(self.key).where(F.col(self.key).isNotNull()).distinct()
+        asked = keys.select(self.key).where(F.col(self.key).isNotNull())
         if not folders:
             return asked.where("false")
-        dealt = asked.withColumn("_hash", F.xxhash64(self.key)).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)).cast("int"))
+        dealt = self._bucketed(asked, buckets)
         self.touched = _numbers(dealt)
+        dealt = dealt.repartition("_bucket").distinct().withColumn("_hash", F.xxhash64(self.key))
         filters = self._read(folders[0], "filters").where(F.col("_bucket").isin(self.touched))
         maybe = dealt.groupBy("_bucket").cogroup(filters.groupBy("_bucket")).applyInPandas(_held, dealt.schema).persist()
         self.opened = _numbers(maybe)

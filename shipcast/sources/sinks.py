@@ -7,10 +7,10 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipcast.operators.clean import dedupe_orders
+from shipcast.operators.clean import MARK, dedupe_orders
 from shipcast.operators.metrics import cap_rows
 from shipcast.sources.keyed import KeyIndex
 from shipcast.sources.layers import align_schema, append_rows, hadoop_path, has_files  # noqa: F401  (re-exported sinks)
@@ -31,21 +31,35 @@ def insert_new_orders(incoming: DataFrame, target: DataFrame, target_path: str,
     """Append the new rows to the target table; returns by how many rows
     it grew (two counts from the file footers; the join runs once)."""
     spark = target.sparkSession
+    before = _stored(spark, target_path)
+    new_rows(incoming, target, key).write.mode("append").parquet(target_path)
+    return _stored(spark, target_path) - before
 
-    def stored() -> int:
-        return spark.read.parquet(target_path).count() if has_files(spark, target_path) else 0
 
-    before = stored()
-    new_rows(incoming, target, key).write.mode("append").parquet(target_path)
-    return stored() - before
+def _stored(spark: SparkSession, path: str) -> int:
+    """The rows of a table, from its file footers."""
+    return spark.read.parquet(path).count() if has_files(spark, path) else 0
 
 
-def insert_through_index(incoming: DataFrame, target_path: str, key: str = "order_id") -> int:
+def insert_through_index(incoming: DataFrame, target_path: str, key: str = "order_id",
+                         derive: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """S5 for small batches into a large table: the table's key index says
-    which keys are stored; returns by how many rows the table grew."""
+    which keys are stored; returns by how many rows the table grew. With
+    ``derive``, ``incoming`` are marked narrow rows (see ``dedupe_orders``):
+    they are sorted once, kept beside the table while the index is asked, and
+    only the rows that are inserted are made wide."""
     spark = incoming.sparkSession
     index = KeyIndex(spark, target_path, key)
     index.sync()
+    if derive:
+        work = f"{target_path.rstrip('/')}_work/{uuid.uuid4().hex}"
+        incoming.where(F.col(MARK) > 0).write.option("compression", "zstd").parquet(work)
+        first = spark.read.schema(incoming.schema).parquet(work)
+        before = _stored(spark, target_path)
+        dedupe_orders(first, key, derive=lambda rows: derive(index.missing(rows))).write.mode("append").parquet(target_path)
+        folder, fs = hadoop_path(spark, work)
+        fs.delete(folder, True)
+        return _stored(spark, target_path) - before
     new = index.missing(dedupe_orders(incoming, key)).persist()
     try:
         new.write.mode("append").parquet(target_path)

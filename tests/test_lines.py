@@ -101,3 +101,16 @@ def test_lines_are_sorted_by_tasks_of_bounded_size(spark, sf_small, monkeypatch)
     rows = sum(r["count"] for r in sizes)
     assert rows == medallion.lines(spark, sf_small).count()
     assert len(sizes) > rows / 200 / 2 and max(r["count"] for r in sizes) < 3 * 200
+
+
+def test_slices_are_inserted_by_narrow_rows(spark, tmp_path):
+    lines = spark.createDataFrame(ROWS, SCHEMA)
+    wide, narrow = str(tmp_path / "wide"), str(tmp_path / "narrow")
+    slices = ["o_orderdate < timestamp_ntz '1999-01-02' or o_orderdate is null", "o_orderdate >= timestamp_ntz '1999-01-02'", "true"]
+    for part in (lines.where(c) for c in slices):
+        own = with_order_id(mark_lines(orders.dealt(part, len(ROWS))))
+        grown = sinks.insert_through_index(order_columns(part), wide)
+        assert sinks.insert_through_index(own, narrow, derive=order_columns) == grown
+        assert _sorted(spark.read.parquet(narrow)) == _sorted(spark.read.parquet(wide))
+    assert grown == 1 and spark.read.parquet(narrow).where("order_id is null").count() == 2  # rows without an id are held by no index
+    assert not os.listdir(tmp_path / "narrow_work")
