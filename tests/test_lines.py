@@ -96,8 +96,11 @@ def test_refreshed_layers_equal_derived_rows(spark, sf_small):
 
 def test_lines_are_sorted_by_tasks_of_bounded_size(spark, sf_small, monkeypatch):
     monkeypatch.setattr(orders, "TASK_LINES", 200)
-    joined = orders.joined_lines(spark, sf_small)
-    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are large
+    try:
+        sizes = orders.joined_lines(spark, sf_small).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     rows = sum(r["count"] for r in sizes)
     assert rows == medallion.lines(spark, sf_small).count()
     assert len(sizes) > rows / 200 / 2 and max(r["count"] for r in sizes) < 3 * 200
