@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shipcast.operators import preprocess as PP
 from shipcast.operators.metrics import latest_orders
-from shipcast.operators.ordered import hash_places
+from shipcast.operators.ordered import aligned_places, hash_places
 from shipcast.plans.training import importance_of, permuted
 
 
@@ -84,6 +84,45 @@ def test_permutations_and_importance(spark):
     assert imp["signal"]["importance_mean"] > 0.3 and imp["noise"]["importance_mean"] == 0.0
 
 
+def test_aligned_places(spark):
+    n = 700
+    df = spark.range(n * 3).select((F.col("id") % n).alias("key"), F.floor(F.col("id") / n).cast("int").alias("kind"))
+    hexes = F.md5(F.concat_ws("|", F.col("key").cast("string"), F.col("kind").cast("string")))
+    got = aligned_places(df.withColumn("hex", hexes), "hex", "kind", 3, n, ["key"]).withColumn("hex", hexes).withColumn("task", F.spark_partition_id()).collect()
+    for kind in range(3):
+        own = sorted((r for r in got if r["kind"] == kind), key=lambda r: r["hex"])
+        assert [r["_place"] for r in own] == list(range(n))
+    assert len({r["_stretch"] for r in got}) > 1
+    assert len({(r["_place"], r["_stretch"], r["task"]) for r in got}) == n  # all kinds of a place lie together
+
+
+def test_permuted_values_against_sorting(spark):
+    import hashlib
+
+    md5 = lambda *parts: hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+    rows = [(f"k{i}", None if i % 11 == 0 else f"w{i % 4}", f"text {i}", None if i % 13 == 0 else i / 7, i % 5) for i in range(1300)]
+    df = spark.createDataFrame(rows, "order_id string, few string, many string, x double, own long")
+    features = ["few", "many", "x"]  # ``many`` has too many values to travel as numbers
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(threshold)
+    spark.conf.set(threshold, -1)
+    try:
+        out = permuted(df, features, "order_id", 2, 7)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {(r["_f"], r["_r"], r["order_id"]): r for r in out.collect()}
+    finally:
+        spark.conf.set(threshold, old)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan  # places are not joined
+    assert out.columns == ["order_id", "own", *features, "_f", "_r"] and len(got) == len(rows) * 6
+    by = sorted(rows, key=lambda r: md5(r[0], 7))
+    for i, f in enumerate(features, 1):
+        for r in range(2):
+            for to, of in zip(by, sorted(rows, key=lambda x: md5(x[0], 7, f, r)), strict=True):
+                want = [*to[:i], of[i], *to[i + 1:]]
+                row = got[f, r, to[0]]
+                assert [row[c] for c in df.columns] == want
+
+
 def test_deep_pages(spark, monkeypatch):
     from shipcast.operators import metrics
 
